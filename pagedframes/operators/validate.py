@@ -1,0 +1,103 @@
+"""Compare records with the declared schema.
+
+Each record gives an array of its own problems; exploding that array and
+counting per (field, problem) shuffles a handful of partial counts, however
+many records there are. Records without a problem give no row.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+PROBLEMS = ("missing", "unreadable", "undeclared")
+_FIELDS = "map<string,variant>"
+_NONE = "array<struct<field:string,problem:string>>"
+
+
+def _problem(path: str, kind: str) -> Column:
+    return F.struct(F.lit(path).alias("field"), F.lit(kind).alias("problem"))
+
+
+def _when(condition: Column, path: str, kind: str) -> Column:
+    return F.when(condition, F.array(_problem(path, kind))).otherwise(F.array().cast(_NONE))
+
+
+def _child(raw: Column, name: str) -> Column:
+    quote = "'" if '"' in name else '"'
+    return F.try_variant_get(raw, f"$[{quote}{name}{quote}]", "variant")
+
+
+def _present(raw: Column) -> Column:
+    return raw.isNotNull() & ~F.is_variant_null(raw)
+
+
+def _struct_problems(raw: Column, typed: Column, schema: T.StructType, path: str) -> list[Column]:
+    """``raw`` is the object as written (a variant), ``typed`` is what the declared schema made of it."""
+    found_names = F.map_keys(F.try_variant_get(raw, "$", _FIELDS))
+    is_object = found_names.isNotNull()
+    names = F.array(*[F.lit(name) for name in schema.fieldNames()])
+    prefix = f"{path}." if path else ""
+    found = [
+        F.transform(
+            F.coalesce(F.array_except(found_names, names), F.array().cast("array<string>")),
+            lambda name: F.struct(F.concat(F.lit(prefix), name).alias("field"), F.lit("undeclared").alias("problem")),
+        )
+    ]
+    for field in schema.fields:
+        child_raw = _child(raw, field.name)
+        child_typed = typed.getField(field.name)
+        here = prefix + field.name
+        if not field.nullable:
+            found.append(_when(is_object & ~_present(child_raw), here, "missing"))
+        found.append(_when(_present(child_raw) & child_typed.isNull(), here, "unreadable"))
+        found.extend(_nested_problems(child_raw, child_typed, field.dataType, here))
+    return found
+
+
+def _nested_problems(raw: Column, typed: Column, data_type: T.DataType, path: str) -> list[Column]:
+    if isinstance(data_type, T.StructType):
+        return _struct_problems(raw, typed, data_type, path)
+    if isinstance(data_type, T.ArrayType):
+        # either side may be null; then there is nothing to compare
+        pairs = F.arrays_zip(F.try_variant_get(raw, "$", "array<variant>").alias("raw"), typed.alias("typed"))
+        element, here = data_type.elementType, f"{path}[]"
+        if isinstance(element, T.StructType):
+
+            def of_one(pair: Column) -> Column:
+                return F.concat(*_struct_problems(pair["raw"], pair["typed"], element, here))
+
+            # several elements with the same problem are one problem of the record
+            each = F.array_distinct(F.flatten(F.transform(pairs, of_one)))
+            return [F.coalesce(each, F.array().cast(_NONE))]
+        bad = F.exists(pairs, lambda pair: _present(pair["raw"]) & pair["typed"].isNull())
+        return [_when(bad, here, "unreadable")]
+    return []
+
+
+def field_problems(items: DataFrame, schema: T.StructType, item: str = "item") -> DataFrame:
+    """One row per record and problem: the input's columns, ``field`` and ``problem``.
+
+    ``missing`` is a required field without a value, ``unreadable`` a value
+    that the declared type cannot hold, ``undeclared`` a field the schema does
+    not know. A record that is no object has the problem ``unreadable`` with
+    the field ``$``.
+    """
+    raw, typed = F.col("__raw"), F.col("__typed")
+    parts = _struct_problems(raw, typed, schema, "")
+    is_object = F.try_variant_get(raw, "$", _FIELDS).isNotNull()
+    problems = F.when(is_object, F.concat(*parts)).otherwise(F.array(_problem("$", "unreadable")))
+    keep = [F.col(f"`{c}`") for c in items.columns]
+    return (
+        items.select(*keep, F.try_parse_json(item).alias("__raw"), F.from_json(item, schema).alias("__typed"))
+        .select(*keep, F.explode(problems).alias("__problem"))
+        .select(*keep, "__problem.field", "__problem.problem")
+    )
+
+
+def validate(items: DataFrame, schema: T.StructType, item: str = "item") -> DataFrame:
+    """Records per ``field`` and ``problem``; only problems that occur are listed."""
+    return (
+        field_problems(items.select(item), schema, item).groupBy("field", "problem").agg(F.count("*").alias("records"))
+    )

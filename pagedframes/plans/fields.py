@@ -1,0 +1,235 @@
+"""Fields of the schemas in API descriptions, with references followed.
+
+A field that refers to another definition holds that definition's fields. The
+references of all schemas of all documents are followed together, one level
+per round: the rows of a level that have children are joined with the
+definitions on (document, name). Each level is a written table, so no round
+computes an earlier one again and a lost executor costs one level's tasks.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from pagedframes.plans.catalogue import ref_name
+from pagedframes.storage import new_folder, write_and_reopen
+
+_NODE = "type string, required array<string>, properties map<string,string>"
+_FIELD = (
+    "type string, format string, `$ref` string, properties string,"
+    " items struct<`$ref`:string,type:string,properties:string>"
+)
+_HAS_CHILDREN = "problem is null and (ref is not null or child is not null)"
+_LEAF_TYPES = {
+    "boolean": T.BooleanType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "array<string>": T.ArrayType(T.StringType()),
+}
+_SCALARS = {"boolean": "boolean", "integer": "int", "string": "string"}
+
+
+def _definitions(specs: DataFrame) -> DataFrame:
+    """``spec_id, name, node, unknown``; ``unknown`` lists what a node refers to and its document lacks."""
+    documents = specs.select(
+        "spec_id", F.from_json("body", "definitions map<string,string>").getField("definitions").alias("all")
+    )
+    each = documents.select("spec_id", F.map_keys("all").alias("names"), F.explode("all").alias("name", "node"))
+    refs = F.regexp_extract_all("node", F.lit(r'"\$ref":"([^"]*)"'))
+    return each.select("spec_id", "name", "node", F.array_except(F.transform(refs, ref_name), "names").alias("unknown"))
+
+
+def _roots(definitions: DataFrame) -> DataFrame:
+    no_names, no_numbers = F.array().cast("array<string>"), F.array().cast("array<int>")
+    return definitions.select(
+        "spec_id",
+        F.col("name").alias("schema_name"),
+        no_names.alias("path"),
+        no_numbers.alias("pos"),
+        F.array("name").alias("opened"),
+        F.lit(False).alias("path_nullable"),
+        F.lit(False).alias("in_array"),
+        "node",
+        "unknown",
+    )
+
+
+def _type_of(field: Column, array_items: Column) -> tuple[Column, Column]:
+    """(Spark type, what to say when there is none) of one field; structs are only named as such."""
+    ref, kind, form = field.getField("$ref"), field.getField("type"), field.getField("format")
+    item_kind = array_items.getField("type")
+    scalar = F.coalesce(*[F.when(kind == name, F.lit(spark)) for name, spark in _SCALARS.items()])
+    in_array = (
+        F.when(array_items.getField("$ref").isNotNull() | (item_kind == "object"), F.lit("array<struct>"))
+        .when(item_kind == "string", F.lit("array<string>"))
+    )
+    spark_type = (
+        F.when(ref.isNotNull() | (kind == "object"), F.lit("struct"))
+        .when(kind == "array", in_array)
+        .when((kind == "number") & (form == "double"), F.lit("double"))
+        .otherwise(scalar)
+    )
+    told = (
+        F.when(kind == "number", F.concat(F.lit("number of format "), F.coalesce(form, F.lit("none"))))
+        .when(kind == "array", F.concat(F.lit("array of "), F.coalesce(item_kind, F.lit("nothing"))))
+        .otherwise(F.concat(F.lit("type "), F.coalesce(kind, F.lit("none"))))
+    )
+    return spark_type, told
+
+
+def _expand(nodes: DataFrame) -> DataFrame:
+    """Object nodes to one row per property; ``child`` is the node of an inline object."""
+    parsed = nodes.withColumn("__node", F.from_json("node", _NODE))
+    rows = parsed.select(
+        "spec_id",
+        "schema_name",
+        "path",
+        "pos",
+        "opened",
+        "path_nullable",
+        "in_array",
+        "unknown",
+        F.col("__node.required").alias("required"),
+        F.posexplode("__node.properties").alias("__pos", "__name", "__json"),
+    ).withColumn("__field", F.from_json("__json", _FIELD))
+    field, items = F.col("__field"), F.col("__field.items")
+    spark_type, problem = _type_of(field, items)
+    target = ref_name(F.coalesce(field.getField("$ref"), F.when(field.getField("type") == "array", items.getField("$ref"))))
+    inline = F.when(field.getField("$ref").isNull() & (field.getField("type") == "object"), F.col("__json")).when(
+        (field.getField("type") == "array") & items.getField("$ref").isNull() & (items.getField("type") == "object"),
+        F.get_json_object("__json", "$.items"),
+    )
+    nullable = ~F.coalesce(F.array_contains("required", F.col("__name")), F.lit(False))
+    dangling = (
+        F.when(spark_type.isNull(), problem)
+        .when(F.array_contains("unknown", target), F.concat(F.lit("unknown reference "), target))
+        .when(F.array_contains("opened", target), F.concat(F.lit("refers back to "), target))
+    )
+    return rows.select(
+        "spec_id",
+        "schema_name",
+        F.array_append("path", F.col("__name")).alias("path"),
+        F.array_append("pos", F.col("__pos")).alias("pos"),
+        spark_type.alias("type"),
+        nullable.alias("nullable"),
+        target.alias("ref"),
+        dangling.alias("problem"),
+        (F.col("path_nullable") | nullable).alias("path_nullable"),
+        "in_array",
+        "opened",
+        "unknown",
+        inline.alias("child"),
+    )
+
+
+def _children(level: DataFrame, definitions: DataFrame) -> DataFrame:
+    """The object nodes below a level."""
+    parents = level.filter(_HAS_CHILDREN).select(
+        "spec_id",
+        "schema_name",
+        "path",
+        "pos",
+        F.when(F.col("ref").isNotNull(), F.array_append("opened", F.col("ref")))
+        .otherwise(F.col("opened"))
+        .alias("opened"),
+        "path_nullable",
+        (F.col("in_array") | F.startswith(F.col("type"), F.lit("array"))).alias("in_array"),
+        "unknown",
+        "ref",
+        "child",
+    )
+    named = definitions.select("spec_id", F.col("name").alias("ref"), "node", "unknown")
+    by_ref = parents.filter("ref is not null").drop("child", "unknown").join(named, ["spec_id", "ref"])
+    inline = parents.filter("ref is null").withColumnRenamed("child", "node")
+    return by_ref.unionByName(inline).drop("ref")
+
+
+_PUBLIC = ["spec_id", "schema_name", "path", "pos", "type", "nullable", "ref", "problem", "path_nullable", "in_array"]
+
+
+def fields(specs: DataFrame) -> DataFrame:
+    """The own fields of each schema; ``type`` names structs only as such, ``ref`` says which."""
+    own = _expand(_roots(_definitions(specs)))
+    return own.select(
+        "spec_id",
+        "schema_name",
+        F.get("pos", F.lit(0)).alias("pos"),
+        F.get("path", F.lit(0)).alias("field"),
+        "type",
+        "nullable",
+        "ref",
+        "problem",
+    )
+
+
+def field_paths(specs: DataFrame) -> DataFrame:
+    """All fields at all levels, by ``path``.
+
+    ``path_nullable`` is whether anything on the path is nullable, ``in_array``
+    whether an array lies above. A reference to a schema that is being opened
+    already is dropped and told as ``problem``, so cycles end.
+    """
+    spark = specs.sparkSession
+    folder = new_folder(spark, "fields")
+    definitions = write_and_reopen(_definitions(specs), f"{folder}/definitions")
+    nodes, levels = _roots(definitions), []
+    while True:
+        level = write_and_reopen(_expand(nodes), f"{folder}/level{len(levels)}")
+        levels.append(level)
+        if level.filter(_HAS_CHILDREN).isEmpty():
+            break
+        nodes = _children(level, definitions)
+    found = levels[0]
+    for level in levels[1:]:
+        found = found.unionByName(level)
+    return found.select(*_PUBLIC)
+
+
+def flat_fields(paths: DataFrame) -> DataFrame:
+    """The columns that flattening each schema gives: ``spec_id, schema_name, column, type, nullable``.
+
+    Structs give way to their leaves and arrays stay whole, as in
+    :func:`pagedframes.operators.flatten`.
+    """
+    leaves = paths.filter("problem is null and not in_array and type != 'struct'")
+    return leaves.select(
+        "spec_id",
+        "schema_name",
+        "pos",
+        F.translate(F.array_join("path", "_"), ".", "_").alias("column"),
+        "type",
+        F.col("path_nullable").alias("nullable"),
+    )
+
+
+def declared_schema(paths: DataFrame, schema_name: str, spec_id: object = None) -> T.StructType:
+    """The ``StructType`` of one schema. Only that schema's field rows come to the driver."""
+    own = paths.filter(F.col("schema_name") == schema_name)
+    if spec_id is not None:
+        own = own.filter(F.col("spec_id") == F.lit(spec_id))
+    rows = sorted(own.collect(), key=lambda r: r["pos"])
+    if not rows:
+        raise ValueError(f"the description has no fields for {schema_name}")
+    children: dict[tuple[str, ...], list] = {}
+    for row in rows:
+        if row["problem"] is None:
+            children.setdefault(tuple(row["path"][:-1]), []).append(row)
+        elif not row["problem"].startswith("refers back"):
+            raise ValueError(f"{schema_name}.{'.'.join(row['path'])}: {row['problem']}")
+
+    def build(path: tuple[str, ...]) -> T.StructType:
+        return T.StructType(
+            [T.StructField(r["path"][-1], data_type(r), r["nullable"]) for r in children.get(path, [])]
+        )
+
+    def data_type(row) -> T.DataType:
+        kind = row["type"]
+        if kind in ("struct", "array<struct>"):
+            struct = build(tuple(row["path"]))
+            return struct if kind == "struct" else T.ArrayType(struct)
+        return _LEAF_TYPES[kind]
+
+    return build(())
