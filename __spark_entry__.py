@@ -21,7 +21,6 @@ if _HOME not in sys.path:
 from pagedframes import fixtures as fx  # noqa: E402
 from pagedframes import operators as ops  # noqa: E402
 from pagedframes import plans, sources, streaming  # noqa: E402
-from pagedframes.functions import query_pairs, query_values  # noqa: E402
 from pagedframes.reader import PagedAPI  # noqa: E402
 from pagedframes.sources.transport import LandedTransport  # noqa: E402
 
@@ -201,21 +200,12 @@ def request_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.request_query(fx.requests(spark, sf_dir)).select("request_id", "endpoint", "query")
 
 
-def _page_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = fx.table(spark, sf_dir, "pages")
-    return pages.select("page_id", query_pairs(F.try_parse_url("url", F.lit("QUERY"))).alias("pairs"))
-
-
 def url_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _page_pairs(spark, sf_dir)
-        .select("page_id", F.posexplode("pairs").alias("pos", "pair"))
-        .select("page_id", "pos", "pair.key", "pair.value")
-    )
+    return ops.url_params(fx.table(spark, sf_dir, "pages").select("page_id", "url"))
 
 
 def url_param_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grouped = _page_pairs(spark, sf_dir).select("page_id", F.explode(query_values(F.col("pairs"))).alias("key", "values"))
+    grouped = ops.url_param_values(fx.table(spark, sf_dir, "pages").select("page_id", "url"))
     return grouped.select("page_id", "key", F.size("values").alias("n"), F.array_join("values", "|").alias("values"))
 
 

@@ -45,7 +45,14 @@ EVENT = _struct(("id",), id=_INT, at=_TEXT, user=_INT, kind=_TEXT, value=_REAL,
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table, spread over the cores when its files make fewer partitions than that.
+
+    Writing and parsing JSON is all CPU, and a small table is a single split.
+    A table of any size has splits enough and is left as it is.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 # --- records ---------------------------------------------------------------
@@ -54,7 +61,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def invoice_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``key, record``: one invoice per order; nested as :data:`INVOICE`."""
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    nation, region = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("nation", "region"))
     joined = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))

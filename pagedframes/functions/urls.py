@@ -13,6 +13,14 @@ def _decoded(text: Column) -> Column:
     return F.coalesce(F.try_url_decode(text), text)
 
 
+def query_part(url: Column) -> Column:
+    """What stands between ``?`` and ``#``; null when there is no ``?``.
+
+    The text decides, so a URL that is otherwise malformed keeps its query.
+    """
+    return F.when(url.rlike(r"^[^?#]*\?"), F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1))
+
+
 def query_pairs(query: Column) -> Column:
     """``k=v&k=w&flag`` as ``ARRAY<STRUCT<key, value>>`` in text order.
 

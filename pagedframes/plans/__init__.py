@@ -7,7 +7,7 @@ from pagedframes.plans.catalogue import (
     read_paths,
     write_paths,
 )
-from pagedframes.plans.fields import declared_schema, field_paths, fields, flat_fields
+from pagedframes.plans.schemas import declared_schema, field_paths, fields, flat_fields
 from pagedframes.plans.pages import page_plan
 from pagedframes.plans.params import (
     enum_violations,

@@ -99,9 +99,9 @@ def write_paths(endpoints: DataFrame) -> DataFrame:
 
 def query_params(endpoints: DataFrame) -> DataFrame:
     """``spec_id, endpoint, method, pos, name, type, enum, required``, one row per query parameter."""
-    return endpoints.select("spec_id", "endpoint", "method", F.posexplode("params").alias("pos", "param")).select(
-        "spec_id", "endpoint", "method", "pos", "param.*"
-    )
+    # outer, so that no filter on the array is inferred, which would parse the document again
+    each = endpoints.select("spec_id", "endpoint", "method", F.posexplode_outer("params").alias("pos", "param"))
+    return each.filter("pos is not null").select("spec_id", "endpoint", "method", "pos", "param.*")
 
 
 def datasets(endpoints: DataFrame) -> DataFrame:

@@ -5,6 +5,9 @@ references of all schemas of all documents are followed together, one level
 per round: the rows of a level that have children are joined with the
 definitions on (document, name). Each level is a written table, so no round
 computes an earlier one again and a lost executor costs one level's tasks.
+
+Parsed JSON is exploded with the outer form and a filter after it: the plain
+form lets Catalyst infer a filter before it, which parses the text once more.
 """
 
 from __future__ import annotations
@@ -37,7 +40,8 @@ def _definitions(specs: DataFrame) -> DataFrame:
     documents = specs.select(
         "spec_id", F.from_json("body", "definitions map<string,string>").getField("definitions").alias("all")
     )
-    each = documents.select("spec_id", F.map_keys("all").alias("names"), F.explode("all").alias("name", "node"))
+    each = documents.select("spec_id", F.map_keys("all").alias("names"), F.explode_outer("all").alias("name", "node"))
+    each = each.filter("name is not null")
     refs = F.regexp_extract_all("node", F.lit(r'"\$ref":"([^"]*)"'))
     return each.select("spec_id", "name", "node", F.array_except(F.transform(refs, ref_name), "names").alias("unknown"))
 
@@ -93,8 +97,9 @@ def _expand(nodes: DataFrame) -> DataFrame:
         "in_array",
         "unknown",
         F.col("__node.required").alias("required"),
-        F.posexplode("__node.properties").alias("__pos", "__name", "__json"),
-    ).withColumn("__field", F.from_json("__json", _FIELD))
+        F.posexplode_outer("__node.properties").alias("__pos", "__name", "__json"),
+    )
+    rows = rows.filter("__name is not null").withColumn("__field", F.from_json("__json", _FIELD))
     field, items = F.col("__field"), F.col("__field.items")
     spark_type, problem = _type_of(field, items)
     target = ref_name(F.coalesce(field.getField("$ref"), F.when(field.getField("type") == "array", items.getField("$ref"))))

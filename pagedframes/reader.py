@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pagedframes.constants import PAGING_PARAMS
 from pagedframes.operators.typed import infer_rows, narrowed, typed_rows
 from pagedframes.plans import catalogue, params as parameters
-from pagedframes.plans.fields import declared_schema, field_paths
+from pagedframes.plans.schemas import declared_schema, field_paths
 from pagedframes.sources.envelope import read_array, read_object, unnest, unnest_typed
 from pagedframes.sources.paged import register_transport
 from pagedframes.sources.transport import Transport

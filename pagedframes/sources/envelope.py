@@ -28,15 +28,16 @@ def _fail(*message: Column | str) -> Column:
     return F.raise_error(F.concat(*parts))
 
 
-def _with_items(pages: DataFrame, record: T.DataType, body: str, strict: bool) -> tuple[DataFrame, list[str]]:
+def _open(pages: DataFrame, record: T.DataType, body: str, strict: bool) -> tuple[DataFrame, list[Column], Column]:
+    """The pages with their body parsed, the columns to keep, and the items to explode."""
     sliced = all(c in pages.columns for c in SLICE)
-    keep = [c for c in pages.columns if c != body and not (sliced and c in SLICE)]
+    keep = [F.col(f"`{c}`") for c in pages.columns if c != body and not (sliced and c in SLICE)]
     parsed = pages.withColumn("__envelope", F.from_json(body, _envelope(record)))
     items = F.col("__envelope").getField(ITEMS)
-    held = items
+    held = F.coalesce(items, F.array())
     if strict:
         where = F.col("page") if "page" in pages.columns else F.lit("?")
-        held = F.when(items.isNull(), _fail("page ", where, " is not a readable page body")).otherwise(held)
+        held = F.when(items.isNull(), _fail("page ", where, " is not a readable page body")).otherwise(items)
     if sliced:
         first, size = F.col("first"), F.col("size")
         rest = F.slice(held, first + 1, F.coalesce(size, F.size(items)))
@@ -44,8 +45,11 @@ def _with_items(pages: DataFrame, record: T.DataType, body: str, strict: bool) -
             F.size(items) < first + size,
             _fail("page ", F.col("page"), " holds ", F.size(items), " items, expected ", first + size),
         ).otherwise(rest)
-    total = F.col("__envelope").getField(TOTAL).alias("total")
-    return parsed.select(*[F.col(f"`{c}`") for c in keep], total, held.alias("__items")), keep
+    return parsed, [*keep, F.col("__envelope").getField(TOTAL).alias("total")], held
+
+
+# The items go into explode as an expression: of a column, Catalyst would
+# infer a filter on its size and evaluate the expression behind it twice.
 
 
 def unnest(pages: DataFrame, body: str = "body", strict: bool = True) -> DataFrame:
@@ -54,14 +58,14 @@ def unnest(pages: DataFrame, body: str = "body", strict: bool = True) -> DataFra
     A body that is no page fails the read; with ``strict=False`` it gives no
     rows and is left to :func:`body_rejects`.
     """
-    held, keep = _with_items(pages, T.StringType(), body, strict)
-    return held.select(*[F.col(f"`{c}`") for c in keep], "total", F.posexplode("__items").alias("pos", "item"))
+    parsed, keep, items = _open(pages, T.StringType(), body, strict)
+    return parsed.select(*keep, F.posexplode(items).alias("pos", "item"))
 
 
 def unnest_typed(pages: DataFrame, schema: T.StructType, body: str = "body", strict: bool = True) -> DataFrame:
     """One row per item with the declared columns, parsed in the same pass as the envelope."""
-    held, _ = _with_items(pages, schema, body, strict)
-    return held.select(F.explode("__items").alias("__record")).select("__record.*")
+    parsed, _, items = _open(pages, schema, body, strict)
+    return parsed.select(F.explode(items).alias("__record")).select("__record.*")
 
 
 def read_object(bodies: DataFrame, body: str = "body") -> DataFrame:

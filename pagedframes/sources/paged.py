@@ -161,19 +161,18 @@ class PushdownReader(PagedReader):
         # Filters on the page number narrow the requests; Spark still applies them all.
         for f in filters:
             if getattr(f, "attribute", None) == ("page",):
-                value = f.value
                 if isinstance(f, EqualTo):
-                    self._narrow(value, value)
+                    self._narrow(f.value, f.value)
                 elif isinstance(f, In):
-                    self._narrow(min(value), max(value))
+                    self._narrow(min(f.value), max(f.value))
                 elif isinstance(f, GreaterThan):
-                    self._narrow(value + 1, None)
+                    self._narrow(f.value + 1, None)
                 elif isinstance(f, GreaterThanOrEqual):
-                    self._narrow(value, None)
+                    self._narrow(f.value, None)
                 elif isinstance(f, LessThan):
-                    self._narrow(None, value - 1)
+                    self._narrow(None, f.value - 1)
                 elif isinstance(f, LessThanOrEqual):
-                    self._narrow(None, value)
+                    self._narrow(None, f.value)
             yield f
 
     def _narrow(self, low: int | None, high: int | None) -> None:
