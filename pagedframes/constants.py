@@ -1,4 +1,4 @@
-"""Fixed values of the paged API; they must match what its servers do."""
+"""Fixed values of the paged API, which must match what its servers do, and of the landing table."""
 
 PAGE_SIZE = 200  # items per page
 PAGING_PARAMS = ("items_per_page", "page")  # set by the reader, never by the caller
@@ -8,3 +8,5 @@ BACKOFF_MIN_SECONDS = 0.02
 BACKOFF_MAX_SECONDS = 30.0
 BACKOFF_JITTER = 0.2
 MAX_RETRIES = 10
+
+BLOCK_PAGES = 500  # pages per folder of a landing table; a choice of ours, about 40 MB

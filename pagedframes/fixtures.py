@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagedframes.constants import PAGE_SIZE
+from pagedframes.sources.landed import land_pages
 from pagedframes.storage import new_folder
 
 
@@ -162,10 +163,9 @@ def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land(pages: DataFrame, label: str) -> str:
-    """Write pages to the shared folder, ordered by page so that a page range is few row groups."""
+    """Land pages in the shared folder and return where."""
     folder = new_folder(pages.sparkSession, label)
-    ordered = pages.repartitionByRange("page").sortWithinPartitions("page")
-    ordered.write.option("parquet.block.size", 16 * 1024 * 1024).parquet(folder)
+    land_pages(pages, folder)
     return folder
 
 

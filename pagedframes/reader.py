@@ -16,6 +16,7 @@ from pagedframes.plans.schemas import declared_schema, field_paths
 from pagedframes.sources.envelope import read_array, read_object, unnest, unnest_typed
 from pagedframes.sources.paged import register_transport
 from pagedframes.sources.transport import Transport
+from pagedframes.storage import new_folder, write_and_reopen
 
 
 class PagedAPI:
@@ -57,8 +58,8 @@ class PagedAPI:
         A parameter ``key`` reads the one record of that key. The other
         parameters are checked against the description and sent to the
         server; paging parameters are ignored. ``columns`` limits what is
-        parsed. ``infer=True`` takes the schema from the records instead; it
-        has to read them once more for that.
+        parsed. ``infer=True`` takes the schema from the records instead,
+        which are fetched at once and kept in the shared folder for that.
         """
         given = dict(params or {})
         entry, url = self._request(dataset, given)
@@ -66,7 +67,7 @@ class PagedAPI:
         if paged:
             pages = self.spark.read.format(self.name).option("endpoint", url).load()
             if infer:
-                return infer_rows(unnest(pages))
+                return infer_rows(unnest(self._landed(pages, "pages")))
             return unnest_typed(pages, narrowed(self.schema(dataset), columns))
         # a single body; it is fetched in a task when the DataFrame runs
         get = self.transport.get
@@ -80,9 +81,13 @@ class PagedAPI:
         else:
             raise ValueError(f"{dataset}: unknown response type {entry['schema_type']}")
         if infer:
-            return infer_rows(items.select("item"))
+            return infer_rows(self._landed(items.select("item"), "items"))
         return typed_rows(items.select("item"), narrowed(self.schema(dataset), columns))
 
+    def _landed(self, fetched: DataFrame, label: str) -> DataFrame:
+        # inference needs a second pass, and a second fetch might bring other records
+        return write_and_reopen(fetched, new_folder(self.spark, label))
+
     def _request(self, dataset: str, given: dict[str, object]) -> tuple[object, str]:
         kind = "item" if "key" in given else "list"
         entry = self._datasets.get((dataset, kind))

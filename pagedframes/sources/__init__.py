@@ -6,7 +6,7 @@ from pagedframes.sources.envelope import (
     unnest,
     unnest_typed,
 )
-from pagedframes.sources.landed import pages_from_files, pages_from_table
+from pagedframes.sources.landed import land_pages, pages_from_files, pages_from_table
 from pagedframes.sources.paged import register_transport
 from pagedframes.sources.transport import FunctionTransport, HttpTransport, LandedTransport, Transport
 
@@ -19,6 +19,7 @@ __all__ = [
     "read_object",
     "unnest",
     "unnest_typed",
+    "land_pages",
     "pages_from_files",
     "pages_from_table",
     "register_transport",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagedframes.constants import BLOCK_PAGES
+
 
 def pages_from_files(spark: SparkSession, path: str, dataset: str | None = None) -> DataFrame:
     """One page body per file. Returns ``file, body`` (and ``dataset`` when it is given)."""
@@ -16,5 +18,18 @@ def pages_from_files(spark: SparkSession, path: str, dataset: str | None = None)
 
 def pages_from_table(spark: SparkSession, path: str, dataset: str | None = None) -> DataFrame:
     """Pages landed as a parquet table with the columns ``dataset, page, body``."""
-    pages = spark.read.parquet(path)
+    pages = spark.read.parquet(path).select("dataset", "page", "body")
     return pages if dataset is None else pages.filter(F.col("dataset") == dataset)
+
+
+def land_pages(pages: DataFrame, path: str) -> None:
+    """Write ``dataset, page, body`` in blocks of consecutive pages, ordered by page.
+
+    A block is a folder whose name follows from the page number, so whoever
+    wants a page range finds it without listing or opening anything else.
+    """
+    block = F.expr(f"(page - 1) div {BLOCK_PAGES}")
+    blocks = pages.select("dataset", "page", "body", block.alias("block")).repartition("block")
+    # bodies are large: small row groups let a page range skip most of its block
+    writer = blocks.sortWithinPartitions("block", "page").write.option("parquet.block.size", 8 * 1024 * 1024)
+    writer.partitionBy("block").parquet(path)

@@ -12,6 +12,7 @@ from pagedframes.constants import (
     BACKOFF_JITTER,
     BACKOFF_MAX_SECONDS,
     BACKOFF_MIN_SECONDS,
+    BLOCK_PAGES,
     MAX_RETRIES,
     PAGE_SIZE,
     PAUSE_SECONDS,
@@ -81,16 +82,12 @@ class HttpTransport(Transport):
 
 
 class LandedTransport(Transport):
-    """Replays pages from a parquet table ``page INT, body STRING``.
-
-    Lay the table out with ``repartitionByRange("page")`` and a sort by page, so
-    that a page range touches only the row groups that hold it.
-    """
+    """Replays the pages of one dataset from a landing table (``landed.land_pages``)."""
 
     def __init__(self, path: str):
         self.path = path
 
-    def _scan(self, condition) -> Iterator[tuple[int, str]]:
+    def _block(self, block: int, condition) -> Iterator[tuple[int, str]]:
         import pyarrow.dataset as ds
         import pyarrow.fs as fs
 
@@ -98,23 +95,19 @@ class LandedTransport(Transport):
             filesystem, path = fs.FileSystem.from_uri(self.path)
         else:
             filesystem, path = fs.LocalFileSystem(), self.path
-        # one fragment at a time: bodies are large, so nothing is read ahead
-        scan = ds.dataset(path, filesystem=filesystem, format="parquet").scanner(
-            columns=["page", "body"],
-            filter=condition,
-            batch_size=64,
-            batch_readahead=1,
-            fragment_readahead=1,
-            use_threads=False,
+        folder = f"{path}/block={block}"
+        if filesystem.get_file_info(folder).type == fs.FileType.NotFound:
+            return
+        # bodies are large, so little is read ahead
+        scan = ds.dataset(folder, filesystem=filesystem, format="parquet").scanner(
+            columns=["page", "body"], filter=condition, batch_size=16, batch_readahead=1, fragment_readahead=1
         )
         for batch in scan.to_batches():
             yield from zip(batch.column("page").to_pylist(), batch.column("body").to_pylist())
 
     def get(self, url: str) -> str:
-        import pyarrow.compute as pc
-
         page = int(url.rsplit("page=", 1)[1])
-        for _, body in self._scan(pc.field("page") == page):
+        for _, body in self.pages(url, page, page):
             return body
         raise LookupError(f"page {page} was not landed")
 
@@ -124,4 +117,12 @@ class LandedTransport(Transport):
         condition = pc.field("page") >= first
         if last is not None:
             condition = condition & (pc.field("page") <= last)
-        return self._scan(condition)
+        block = (first - 1) // BLOCK_PAGES
+        while last is None or block <= (last - 1) // BLOCK_PAGES:
+            found = False
+            for found_page in self._block(block, condition):
+                found = True
+                yield found_page
+            if last is None and not found:
+                return
+            block += 1

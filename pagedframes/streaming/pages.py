@@ -13,7 +13,8 @@ LANDED = "dataset STRING, page INT, body STRING"
 
 def stream_landed(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """Each page that appears in a landing table ``dataset, page, body``."""
-    return spark.readStream.schema(LANDED).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    landed = spark.readStream.schema(LANDED).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    return landed.select("dataset", "page", "body")
 
 
 def stream_api(spark: SparkSession, endpoint: str, name: str = "paged") -> DataFrame:

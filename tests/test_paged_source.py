@@ -5,9 +5,18 @@ from io import BytesIO
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from conftest import page_body
-from pagedframes.sources import FunctionTransport, HttpTransport, LandedTransport, register_transport, unnest
+from pagedframes.sources import (
+    FunctionTransport,
+    HttpTransport,
+    LandedTransport,
+    land_pages,
+    pages_from_table,
+    register_transport,
+    unnest,
+)
 from pagedframes.sources.paged import PagedReader, PagedStreamReader, PushdownReader
 from pagedframes.storage import new_folder
 from pagedframes.streaming import drain, stream_api, stream_items
@@ -101,12 +110,18 @@ def test_page_filters_narrow_the_requests(spark):
 
 
 def test_landed_pages_replay(spark):
-    rows = [(p, page_body([{"id": i} for i in range((p - 1) * 200, min(p * 200, 950))], p, 950)) for p in range(1, 6)]
+    # three blocks of pages
+    total = 200 * 1001 + 50
+    rows = spark.range(1, 1003).selectExpr("'d' dataset", "cast(id as int) page")
+    item = F.expr("transform(sequence((page - 1) * 200, least(page * 200, {0}) - 1), i -> concat('{{\"id\":', i, '}}'))".format(total))
+    body = F.concat(F.lit('{"$total":%d,"$items":[' % total), F.array_join(item, ","), F.lit("]}"))
     folder = new_folder(spark, "landed")
-    spark.createDataFrame(rows, "page INT, body STRING").repartitionByRange(2, "page").write.parquet(folder)
-    assert sorted(ids(spark, LandedTransport(folder))) == list(range(950))
+    land_pages(rows.withColumn("body", body), folder)
+    assert sorted(ids(spark, LandedTransport(folder), width=70)) == list(range(total))
+    assert len(LandedTransport(folder).get("/x?page=501")) > 200
+    assert pages_from_table(spark, folder, "d").count() == 1002
     gap = new_folder(spark, "landed")
-    spark.createDataFrame([r for r in rows if r[0] != 3], "page INT, body STRING").write.parquet(gap)
+    land_pages(rows.withColumn("body", body).filter("page != 3"), gap)
     with pytest.raises(PySparkException, match="expected page 3, got page 4"):
         ids(spark, LandedTransport(gap), width=10)
 

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import types as T
 
 from pagedframes import flatten, infer_rows, typed_rows, validate
@@ -60,13 +61,31 @@ def test_validate_counts_records(spark):
     assert {tuple(r) for r in validate(df, SCHEMA).collect()} == {("id", "missing", 2), ("n", "unreadable", 1)}
 
 
-def test_inference_merges_and_widens(spark):
-    df = infer_rows(items(spark, '{"a":1,"b":{"c":1}}', '{"a":2.5,"b":{"d":"x"}}', '{\n "a": null,\r\n "e": null}'))
-    assert dict(df.dtypes) == {"a": "double", "b": "struct<c:bigint,d:string>", "e": "string"}
-    assert df.count() == 3
-    assert flatten(df).columns == ["a", "b_c", "b_d", "e"]
-
-
-def test_inference_of_nothing_is_empty(spark):
-    df = infer_rows(items(spark).select("item"))
-    assert df.columns == [] and df.count() == 0
+MERGES = [
+    ['{"a":1,"b":{"c":1}}', '{"a":2.5,"b":{"d":"x"}}', '{\n "a": null,\r\n "e": null}'],
+    ['{"a":1}', '{"a":"x"}'],
+    ['{"a":true}', '{"a":1}'],
+    ['{"a":{"b":1}}', '{"a":5}'],
+    ['{"a":{}}', '{"b":{"c":{}}}', '{"c":[{}]}', '{"d":1}'],
+    ['{"a":[]}', '{"b":[1,"x"],"c":[[1],[2.5]]}'],
+    ['{"b":1,"a":{"d":[{"z":1.50},{"y":null}]}}'],
+    ['{"VOID":1,"VARIANT":null,"a b":1,"q`r":{"x.y":2.5},"OBJECT":{"DECIMAL":1.25}}'],
+    ['{"a":123456789012345678901234}', '{"b":1e20}', '{"c":9223372036854775807}'],
+    ['{"1a":1,"é":2}', "oops", '{"1a":"cut'],
+    ["oops"],
+    [],
+]
+
+
+@pytest.mark.parametrize("texts", MERGES)
+def test_inference_equals_the_json_reader(spark, texts):
+    df = infer_rows(items(spark, *texts))
+    # one text per line, as the reader's files have it
+    expected = spark.read.json(spark.sparkContext.parallelize([t.replace("\r\n", " ").replace("\n", " ") for t in texts]))
+    assert df.schema.simpleString() == expected.schema.simpleString()
+    if df.columns != ["_corrupt_record"]:
+        assert sorted(map(str, df.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_inference_then_flatten(spark):
+    assert flatten(infer_rows(items(spark, *MERGES[0]))).columns == ["a", "b_c", "b_d", "e"]
