@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 def body_shape(body: Column) -> Column:
     """``object``, ``array``, ``scalar``, or null when the text is not JSON.
 
-    Both probes skip over nested values, so no tree of the body is built; only
-    a body that is neither object nor array is parsed in full.
+    The first character says which probe to make. The probes for objects and
+    arrays skip over nested values, so no tree of the body is built.
     """
+    first = F.substring(F.ltrim(body, F.lit(" \t\r\n")), 1, 1)
     return (
-        F.when(F.json_object_keys(body).isNotNull(), F.lit("object"))
-        .when(F.json_array_length(body).isNotNull(), F.lit("array"))
+        F.when(first == "{", F.when(F.json_object_keys(body).isNotNull(), F.lit("object")))
+        .when(first == "[", F.when(F.json_array_length(body).isNotNull(), F.lit("array")))
         .when(F.try_parse_json(body).isNotNull(), F.lit("scalar"))
     )
 
