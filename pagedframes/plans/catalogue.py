@@ -89,12 +89,19 @@ def endpoints(specs: DataFrame) -> DataFrame:
     )
 
 
-def read_paths(endpoints: DataFrame) -> DataFrame:
-    return endpoints.filter("method = 'get' and problem is null")
+def read_paths(endpoints: DataFrame, endpoint: str | None = None) -> DataFrame:
+    """The usable operations that read, of all endpoints or of one."""
+    return _paths(endpoints.filter("method = 'get'"), endpoint)
 
 
-def write_paths(endpoints: DataFrame) -> DataFrame:
-    return endpoints.filter("method in ('post', 'put', 'delete') and problem is null")
+def write_paths(endpoints: DataFrame, endpoint: str | None = None) -> DataFrame:
+    """The usable operations that write, of all endpoints or of one."""
+    return _paths(endpoints.filter("method in ('post', 'put', 'delete')"), endpoint)
+
+
+def _paths(operations: DataFrame, endpoint: str | None) -> DataFrame:
+    usable = operations.filter("problem is null")
+    return usable if endpoint is None else usable.filter(F.col("endpoint") == endpoint)
 
 
 def query_params(endpoints: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from pagedframes.constants import PAGING_PARAMS
+from pagedframes.operators.flattening import flatten_schema
 from pagedframes.operators.typed import infer_rows, narrowed, typed_rows
 from pagedframes.plans import catalogue, params as parameters
 from pagedframes.plans.schemas import declared_schema, field_paths
@@ -23,7 +24,7 @@ class PagedAPI:
     """The datasets that one API description offers, read through one transport.
 
     >>> api = PagedAPI(spark, description, HttpTransport("https://api.example.test", headers))
-    >>> invoices = api.read("PurchaseInvoice", {"status": "PAID"})
+    >>> invoices = api.read("Invoice", {"status": "PAID"})
     """
 
     def __init__(self, spark: SparkSession, description: str, transport: Transport, name: str = "paged"):
@@ -40,11 +41,12 @@ class PagedAPI:
     def datasets(self) -> list[str]:
         return sorted({name for name, _ in self._datasets})
 
-    def schema(self, dataset: str) -> T.StructType:
-        """The declared schema, references resolved."""
+    def schema(self, dataset: str, flat: bool = False) -> T.StructType:
+        """The declared schema, references resolved; ``flat`` gives the columns after flattening."""
         if self._paths is None:
             self._paths = field_paths(self.specs)
-        return declared_schema(self._paths, dataset)
+        schema = declared_schema(self._paths, dataset)
+        return flatten_schema(schema) if flat else schema
 
     def read(
         self,

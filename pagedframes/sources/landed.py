@@ -22,7 +22,7 @@ def pages_from_table(spark: SparkSession, path: str, dataset: str | None = None)
     return pages if dataset is None else pages.filter(F.col("dataset") == dataset)
 
 
-def land_pages(pages: DataFrame, path: str) -> None:
+def land_pages(pages: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write ``dataset, page, body`` in blocks of consecutive pages, ordered by page.
 
     A block is a folder whose name follows from the page number, so whoever
@@ -32,4 +32,4 @@ def land_pages(pages: DataFrame, path: str) -> None:
     blocks = pages.select("dataset", "page", "body", block.alias("block")).repartition("block")
     # bodies are large: small row groups let a page range skip most of its block
     writer = blocks.sortWithinPartitions("block", "page").write.option("parquet.block.size", 8 * 1024 * 1024)
-    writer.partitionBy("block").parquet(path)
+    writer.mode(mode).partitionBy("block").parquet(path)

@@ -31,12 +31,12 @@ from pyspark.sql.datasource import (
 )
 
 import pagedframes
-from pagedframes.constants import PAGE_SIZE
-from pagedframes.sources.transport import Transport, page_url
+from pagedframes.sources.transport import Paging, Transport
 
 SCHEMA = "page INT, first INT, size INT, body STRING"
 _ARROW = pa.schema([("page", pa.int32()), ("first", pa.int32()), ("size", pa.int32()), ("body", pa.string())])
 _BATCH_PAGES = 16
+_MIN_WIDTH, _MAX_TASKS = 50, 20_000  # pages per task at least, tasks per read at most
 
 
 @dataclass
@@ -84,15 +84,42 @@ def register_transport(spark: SparkSession, transport: Transport, name: str = "p
     spark.dataSource.register(source)
 
 
-def _total(transport: Transport, endpoint: str) -> int | None:
-    body = json.loads(transport.get(page_url(endpoint, 1)))
-    if not isinstance(body, dict) or not isinstance(body.get("$items"), list):
-        raise ValueError(f"{endpoint} does not answer with pages")
-    return body.get("$total")
+class _Endpoint:
+    """The endpoint that the options name: ``endpoint``, and ``pageParam``, ``sizeParam``, ``pageSize`` if they differ."""
 
-
-def _ranges(first: int, last: int, width: int) -> list[tuple[int, int]]:
-    return [(low, min(low + width - 1, last)) for low in range(first, last + 1, width)]
+    def __init__(self, transport: Transport, options: dict[str, str]):
+        self.transport, self.name = transport, options["endpoint"]
+        known = Paging()
+        self.paging = Paging(
+            options.get("pageParam", known.page_param),
+            options.get("sizeParam", known.size_param),
+            int(options.get("pageSize", str(known.size))),
+        )
+        self.size = self.paging.size
+        self.width = options.get("pagesPerPartition")
+
+    def ranges(self, first: int, last: int) -> list[tuple[int, int]]:
+        """Pages ``first..last`` cut into the ranges that tasks read."""
+        width = int(self.width or max(_MIN_WIDTH, -(-(last - first + 1) // _MAX_TASKS)))
+        return [(low, min(low + width - 1, last)) for low in range(first, last + 1, width)]
+
+    def pages(self, first: int, last: int | None) -> Iterator[tuple[int, str]]:
+        """Pages ``first..last``, each of them and in order; the end is open without ``last``."""
+        expected = first
+        for page, body in self.transport.pages(self.name, first, last, self.paging):
+            if page != expected:
+                raise LookupError(f"expected page {expected}, got page {page}")
+            yield page, body
+            expected += 1
+        if expected <= (first if last is None else last):
+            raise LookupError(f"page {expected} is missing")
+
+    def total(self) -> int | None:
+        (_, text), *_ = self.pages(1, 1)
+        body = json.loads(text)
+        if not isinstance(body, dict) or not isinstance(body.get("$items"), list):
+            raise ValueError(f"{self.name} does not answer with pages")
+        return body.get("$total")
 
 
 def _batches(rows: Iterator[tuple[int, int, int | None, str]]) -> Iterator[pa.RecordBatch]:
@@ -106,32 +133,19 @@ def _batches(rows: Iterator[tuple[int, int, int | None, str]]) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*held), _ARROW)], schema=_ARROW)
 
 
-def _in_order(pages: Iterator[tuple[int, str]], first: int, last: int | None) -> Iterator[tuple[int, str]]:
-    expected = first
-    for page, body in pages:
-        if page != expected:
-            raise LookupError(f"expected page {expected}, got page {page}")
-        yield page, body
-        expected += 1
-    if last is not None and expected <= last:
-        raise LookupError(f"page {expected} is missing")
-
-
 class PagedReader(DataSourceReader):
     def __init__(self, transport: Transport, options: dict[str, str]):
-        self.transport = transport
-        self.endpoint = options["endpoint"]
-        self.width = int(options.get("pagesPerPartition", "50"))
+        self.endpoint = _Endpoint(transport, options)
         self.low, self.high = 1, None
 
     def partitions(self) -> Sequence[InputPartition]:
-        total = _total(self.transport, self.endpoint)
+        total = self.endpoint.total()
         if total is None:
             # Nobody knows where the pages end: one task walks them.
             return [PageRange(1, 0, open=True)]
-        final = max(1, -(-total // PAGE_SIZE))
+        final = max(1, -(-total // self.endpoint.size))
         last = final if self.high is None else min(final, self.high)
-        parts = [PageRange(low, high) for low, high in _ranges(self.low, last, self.width)]
+        parts = [PageRange(low, high) for low, high in self.endpoint.ranges(self.low, last)]
         if parts and last == final:
             parts[-1].open = True
         return parts or [PageRange(1, 0)]
@@ -140,18 +154,17 @@ class PagedReader(DataSourceReader):
         return _batches(self._rows(part))
 
     def _rows(self, part: PageRange) -> Iterator[tuple[int, int, int | None, str]]:
+        size = self.endpoint.size
         full_until = part.last - 1 if part.open else part.last
         if part.first <= full_until:
-            pages = self.transport.pages(self.endpoint, part.first, full_until)
-            for page, body in _in_order(pages, part.first, full_until):
-                yield page, 0, PAGE_SIZE, body
+            for page, body in self.endpoint.pages(part.first, full_until):
+                yield page, 0, size, body
         if part.open:
             # Items may have been added since page 1 was read, so the end is
             # where a page is not full, whatever the total said.
-            start = max(part.first, part.last)
-            for page, body in _in_order(self.transport.pages(self.endpoint, start, None), start, start):
-                full = len(json.loads(body)["$items"]) == PAGE_SIZE
-                yield page, 0, PAGE_SIZE if full else None, body
+            for page, body in self.endpoint.pages(max(part.first, part.last), None):
+                full = len(json.loads(body)["$items"]) == size
+                yield page, 0, size if full else None, body
                 if not full:
                     break
 
@@ -186,33 +199,32 @@ class PagedStreamReader(DataSourceStreamReader):
     """An append-only dataset as a stream; the offset counts items, so a page that fills up is not read twice."""
 
     def __init__(self, transport: Transport, options: dict[str, str]):
-        self.transport = transport
-        self.endpoint = options["endpoint"]
-        self.width = int(options.get("pagesPerPartition", "50"))
+        self.endpoint = _Endpoint(transport, options)
 
     def initialOffset(self) -> dict:
         return {"items": 0}
 
     def latestOffset(self) -> dict:
-        total = _total(self.transport, self.endpoint)
+        total = self.endpoint.total()
         if total is None:
-            raise ValueError(f"{self.endpoint} gives no $total, so it cannot be streamed")
+            raise ValueError(f"{self.endpoint.name} gives no $total, so it cannot be streamed")
         return {"items": total}
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
         begin, stop = start["items"], end["items"]
         if begin >= stop:
             return []
-        first, last = begin // PAGE_SIZE + 1, -(-stop // PAGE_SIZE)
-        return [PageRange(low, high, start=begin, end=stop) for low, high in _ranges(first, last, self.width)]
+        size = self.endpoint.size
+        first, last = begin // size + 1, -(-stop // size)
+        return [PageRange(low, high, start=begin, end=stop) for low, high in self.endpoint.ranges(first, last)]
 
     def read(self, part: PageRange) -> Iterator[pa.RecordBatch]:
         return _batches(self._rows(part))
 
     def _rows(self, part: PageRange) -> Iterator[tuple[int, int, int, str]]:
-        pages = self.transport.pages(self.endpoint, part.first, part.last)
-        for page, body in _in_order(pages, part.first, part.last):
-            base = (page - 1) * PAGE_SIZE
+        size = self.endpoint.size
+        for page, body in self.endpoint.pages(part.first, part.last):
+            base = (page - 1) * size
             low = max(part.start - base, 0)
-            high = min(part.end - base, PAGE_SIZE)
+            high = min(part.end - base, size)
             yield page, low, high - low, body

@@ -7,6 +7,7 @@ import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 from pagedframes.constants import (
     BACKOFF_JITTER,
@@ -20,22 +21,30 @@ from pagedframes.constants import (
 )
 
 
-def page_url(endpoint: str, page: int) -> str:
-    joint = "&" if "?" in endpoint else "?"
-    return f"{endpoint}{joint}items_per_page={PAGE_SIZE}&page={page}"
+@dataclass(frozen=True)
+class Paging:
+    """How an endpoint is asked for a page."""
+
+    page_param: str = "page"
+    size_param: str = "items_per_page"
+    size: int = PAGE_SIZE
+
+    def url(self, endpoint: str, page: int) -> str:
+        joint = "&" if "?" in endpoint else "?"
+        return f"{endpoint}{joint}{self.size_param}={self.size}&{self.page_param}={page}"
 
 
 class Transport:
-    """Gets one body by relative URL; override ``pages`` where a range is cheaper."""
+    """Gets bodies by relative URL; override ``pages`` where a range is cheaper."""
 
     def get(self, url: str) -> str:
         raise NotImplementedError
 
-    def pages(self, endpoint: str, first: int, last: int | None) -> Iterator[tuple[int, str]]:
+    def pages(self, endpoint: str, first: int, last: int | None, paging: Paging) -> Iterator[tuple[int, str]]:
         """The bodies of pages ``first..last``; without ``last``, on and on."""
         page = first
         while last is None or page <= last:
-            yield page, self.get(page_url(endpoint, page))
+            yield page, self.get(paging.url(endpoint, page))
             page += 1
 
 
@@ -105,13 +114,7 @@ class LandedTransport(Transport):
         for batch in scan.to_batches():
             yield from zip(batch.column("page").to_pylist(), batch.column("body").to_pylist())
 
-    def get(self, url: str) -> str:
-        page = int(url.rsplit("page=", 1)[1])
-        for _, body in self.pages(url, page, page):
-            return body
-        raise LookupError(f"page {page} was not landed")
-
-    def pages(self, endpoint: str, first: int, last: int | None) -> Iterator[tuple[int, str]]:
+    def pages(self, endpoint: str, first: int, last: int | None, paging: Paging) -> Iterator[tuple[int, str]]:
         import pyarrow.compute as pc
 
         condition = pc.field("page") >= first

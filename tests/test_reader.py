@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
 from conftest import page_body
-from pagedframes import FunctionTransport, PagedAPI, fixtures as fx, flatten
+from pagedframes import FunctionTransport, PagedAPI, fixtures as fx, flatten, flatten_schema
 
 # test modules are not on the path of Python workers
 cloudpickle.register_pickle_by_value(conftest)
@@ -97,3 +97,10 @@ def test_errors_are_raised(api, dataset, params, told):
 
 def test_datasets(api):
     assert api.datasets() == ["Contact", "Region", "SalesInvoice"]
+
+
+def test_schemas(api):
+    assert api.schema("SalesInvoice") == fx.INVOICE
+    assert api.schema("SalesInvoice", flat=True) == flatten_schema(fx.INVOICE)
+    with pytest.raises(ValueError, match="no fields for Nothing"):
+        api.schema("Nothing")
