@@ -13,16 +13,29 @@ def read_by_key(rows: DataFrame, key: object, column: str = "id") -> DataFrame:
     return rows.filter(F.col(column) == F.lit(key))
 
 
+_COPIES = 64
+
+
+def _thinned(rows: DataFrame, column: str) -> DataFrame:
+    """The keys of ``rows``, each at most 64 times, however often it occurs.
+
+    A plain distinct would do too, but as the last step before a join it takes
+    the place of the join's own shuffle, and then adaptive execution does not
+    split the other side where that is skewed.
+    """
+    salted = rows.select(column, (F.spark_partition_id() % _COPIES).alias("__salt"))
+    return salted.distinct().select(column)
+
+
 def read_by_keys(rows: DataFrame, keys: DataFrame, column: str = "id") -> DataFrame:
-    """The records whose key is in ``keys``.
+    """The records whose key is in ``keys``, each once, however often a key is given.
 
-    Repeated keys are made one before the shuffle. The strategy is left to
-    Spark: broadcast when the measured key side is small, else a shuffle
-    whose skewed partitions adaptive execution splits.
+    The strategy is left to Spark: broadcast when the measured key side is
+    small, else a shuffle whose skewed partitions adaptive execution splits.
     """
-    return rows.join(keys.select(column).distinct(), column, "left_semi")
+    return rows.join(_thinned(keys, column), column, "left_semi")
 
 
 def unmatched_keys(rows: DataFrame, keys: DataFrame, column: str = "id") -> DataFrame:
     """The keys, each once, that no record has. A null key matches nothing and is listed."""
-    return keys.select(column).distinct().join(rows.select(column).distinct(), column, "left_anti")
+    return keys.select(column).distinct().join(_thinned(rows, column), column, "left_anti")

@@ -20,11 +20,6 @@ def items(spark, *texts):
     return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k INT, item STRING")
 
 
-def problems(spark, text):
-    rows = field_problems(items(spark, text), SCHEMA).collect()
-    return sorted((r["field"], r["problem"]) for r in rows)
-
-
 def test_typed_rows_keep_other_columns(spark):
     df = typed_rows(items(spark, '{"id":"a","n":1,"c":{"x":2}}', "{}"), SCHEMA)
     assert df.columns == ["k", "id", "n", "ok", "c", "l", "t"]
@@ -33,27 +28,33 @@ def test_typed_rows_keep_other_columns(spark):
     assert second["id"] is None
 
 
-def test_clean_records_have_no_problems(spark):
-    assert problems(spark, '{"id":"a","n":1,"ok":true,"c":{"id":1,"x":2.5},"l":[{"p":1}],"t":["a",null]}') == []
-    assert problems(spark, '{"id":"a","c":null,"l":[],"t":null}') == []
+PROBLEMS = {
+    '{"id":"a","n":1,"ok":true,"c":{"id":1,"x":2.5},"l":[{"p":1}],"t":["a",null]}': [],
+    '{"id":"a","c":null,"l":[],"t":null}': [],
+    "{}": [("id", "missing")],
+    '{"id":null}': [("id", "missing")],
+    '{"id":"a","n":5000000000}': [("n", "unreadable")],
+    '{"id":"a","ok":"yes"}': [("ok", "unreadable")],
+    '{"id":"a","more":1,"c":{"id":1,"deep":2}}': [("c.deep", "undeclared"), ("more", "undeclared")],
+    '{"id":"a","c":{"x":"n/a"}}': [("c.id", "missing"), ("c.x", "unreadable")],
+    '{"id":"a","c":5}': [("c", "unreadable")],
+    '{"id":"a","l":5}': [("l", "unreadable")],
+    "oops": [("$", "unreadable")],
+    "[1]": [("$", "unreadable")],
+    # several elements with the same problem count once
+    '{"id":"a","l":[{"p":1},{"p":"x"},{"p":"y","q":1},{}]}': [
+        ("l[].p", "missing"),
+        ("l[].p", "unreadable"),
+        ("l[].q", "undeclared"),
+    ],
+}
 
 
 def test_each_kind_of_problem(spark):
-    assert problems(spark, "{}") == [("id", "missing")]
-    assert problems(spark, '{"id":null}') == [("id", "missing")]
-    assert problems(spark, '{"id":"a","n":5000000000}') == [("n", "unreadable")]
-    assert problems(spark, '{"id":"a","ok":"yes"}') == [("ok", "unreadable")]
-    assert problems(spark, '{"id":"a","more":1,"c":{"id":1,"deep":2}}') == [("c.deep", "undeclared"), ("more", "undeclared")]
-    assert problems(spark, '{"id":"a","c":{"x":"n/a"}}') == [("c.id", "missing"), ("c.x", "unreadable")]
-    assert problems(spark, '{"id":"a","c":5}') == [("c", "unreadable")]
-    assert problems(spark, '{"id":"a","l":5}') == [("l", "unreadable")]
-    assert problems(spark, "oops") == [("$", "unreadable")]
-    assert problems(spark, "[1]") == [("$", "unreadable")]
-
-
-def test_elements_count_once_per_record(spark):
-    text = '{"id":"a","l":[{"p":1},{"p":"x"},{"p":"y","q":1},{}]}'
-    assert problems(spark, text) == [("l[].p", "missing"), ("l[].p", "unreadable"), ("l[].q", "undeclared")]
+    found = {text: [] for text in PROBLEMS}
+    for row in field_problems(items(spark, *PROBLEMS), SCHEMA).collect():
+        found[row["item"]].append((row["field"], row["problem"]))
+    assert {text: sorted(told) for text, told in found.items()} == PROBLEMS
 
 
 def test_validate_counts_records(spark):
