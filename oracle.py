@@ -115,12 +115,15 @@ found AS (
 
 # invoice pages as they were received: how often each came
 _RECEIVED = """
+sent AS (
+  SELECT 'invoice' AS dataset, CAST(o_orderkey // 200 + 1 AS INTEGER) AS page, count(*) AS items,
+         arg_min(o_orderstatus, o_orderkey) AS status, arg_min(o_orderpriority, o_orderkey) AS priority
+  FROM orders GROUP BY ALL),
 received AS (
-  SELECT 'invoice' AS dataset, CAST(o_orderkey // 200 + 1 AS INTEGER) AS page,
-         CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN 0
-              WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN 2 ELSE 1 END AS copies,
-         least(200, (SELECT count(*) FROM orders) - o_orderkey) AS items
-  FROM orders WHERE o_orderkey % 200 = 0)
+  SELECT dataset, page, items,
+         CASE WHEN status = 'P' AND priority = '1-URGENT' THEN 0
+              WHEN status = 'F' AND priority = '5-LOW' THEN 2 ELSE 1 END AS copies
+  FROM sent)
 """
 
 _QUERY = """

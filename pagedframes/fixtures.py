@@ -128,15 +128,15 @@ def items_of(records: DataFrame) -> DataFrame:
 # --- pages -----------------------------------------------------------------
 
 
-def page_bodies(items: DataFrame, dataset: str, total: int) -> DataFrame:
-    """``dataset, page, body`` with 200 items each, in key order.
+def page_bodies(items: DataFrame, dataset: str, total: int, *more: Column) -> DataFrame:
+    """``dataset, page, body`` with 200 items each, in key order, and ``more`` aggregates of each page.
 
     Keys are unique and dense from 0, so ``key div 200`` numbers the pages and
     a page never gathers more than 200 items.
     """
     page = F.expr(f"cast(key div {PAGE_SIZE} as int)") + 1
     held = F.transform(F.sort_array(F.collect_list(F.struct("key", "item"))), lambda e: e["item"])
-    grouped = items.groupBy(page.alias("page")).agg(held.alias("items"))
+    grouped = items.groupBy(page.alias("page")).agg(held.alias("items"), *more)
     body = F.concat(
         F.lit(f'{{"$total":{total},"$page":'),
         F.col("page").cast("string"),
@@ -144,7 +144,7 @@ def page_bodies(items: DataFrame, dataset: str, total: int) -> DataFrame:
         F.array_join("items", ","),
         F.lit("]}"),
     )
-    return grouped.select(F.lit(dataset).alias("dataset"), "page", body.alias("body"))
+    return grouped.select(F.lit(dataset).alias("dataset"), body.alias("body"), "*").drop("items")
 
 
 def invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,23 +244,18 @@ def faulty_invoice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return invoice_records(spark, sf_dir).select("key", F.to_json(broken).alias("item"))
 
 
-def _first_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``page, status, priority`` of the order that each invoice page starts with."""
-    first = table(spark, sf_dir, "orders").filter(F.expr(f"o_orderkey % {PAGE_SIZE} = 0"))
-    return first.select(
-        F.expr(f"cast(o_orderkey div {PAGE_SIZE} as int)").alias("page") + 1,
-        F.col("o_orderstatus").alias("status"),
-        F.col("o_orderpriority").alias("priority"),
-    ).toDF("page", "status", "priority")
-
-
 def faulty_invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoice pages of which some are lost and some come twice.
 
     A page is lost when the order it starts with is in process and urgent, and
     comes twice when that order is finished and of low priority.
     """
-    pages = invoice_pages(spark, sf_dir).join(_first_order(spark, sf_dir), "page")
+    record = F.col("record")
+    items = invoice_records(spark, sf_dir).select(
+        "key", F.to_json(record).alias("item"), record["status"].alias("status"), record["tags"][0].alias("priority")
+    )
+    first = [F.min_by(name, "key").alias(name) for name in ("status", "priority")]
+    pages = page_bodies(items, "invoice", table(spark, sf_dir, "orders").count(), *first)
     copies = (
         F.when((F.col("status") == "P") & (F.col("priority") == "1-URGENT"), 0)
         .when((F.col("status") == "F") & (F.col("priority") == "5-LOW"), 2)
