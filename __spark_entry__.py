@@ -332,6 +332,6 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from oracle import ORACLE
+    from oracle_queries import ORACLE
 
     return dict(ORACLE)

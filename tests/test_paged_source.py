@@ -7,7 +7,6 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import page_body
 from pagedframes.sources import (
     FunctionTransport,
     HttpTransport,
