@@ -7,6 +7,7 @@ them, and the SQL states what must come out in terms of the tables alone.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -17,6 +18,9 @@ from pyspark.sql import functions as F
 _HOME = os.path.dirname(os.path.abspath(__file__))
 if _HOME not in sys.path:
     sys.path.insert(0, _HOME)
+# Python workers that start elsewhere find the package too
+if _HOME not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+    os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, (_HOME, os.environ.get("PYTHONPATH"))))
 
 from pagedframes import fixtures as fx  # noqa: E402
 from pagedframes import operators as ops  # noqa: E402
@@ -327,11 +331,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return flatten(spark, "/root/testdata/sf0.001")
 
 
+def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the corpus operators, where they are installed."""
+    try:
+        found = importlib.import_module("pagedframes.llm.queries")
+        pipeline = importlib.import_module("corpus_pipeline")
+    except ModuleNotFoundError as error:
+        if error.name not in ("pagedframes.llm", "pagedframes.llm.queries", "corpus_pipeline"):
+            raise
+        return {}, {}
+    sql = {"pipeline": pipeline.ORACLE_SQL} if pipeline.ORACLE_SQL else {}
+    return {**found.QUERIES, "pipeline": pipeline.run}, {**found.ORACLE, **sql}
+
+
 def queries() -> dict[str, Query]:
-    return {query.__name__: query for query in _QUERIES}
+    return {query.__name__: query for query in _QUERIES} | _corpus()[0]
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_queries import ORACLE
 
-    return dict(ORACLE)
+    return dict(ORACLE) | _corpus()[1]

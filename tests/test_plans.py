@@ -14,7 +14,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in contract.queries() if n not in FROM_API])
+@pytest.mark.parametrize("name", [q.__name__ for q in contract._QUERIES if q.__name__ not in FROM_API])
 def test_no_python_no_products_no_single_task(spark, name):
     plan = plan_of(contract.queries()[name](spark, SF))
     for node in ("EvalPython", "MapInPandas", "MapInArrow", "InPandas", "CartesianProduct", "NestedLoop", "Window"):
