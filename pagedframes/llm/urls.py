@@ -46,30 +46,28 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def propagate(
-    edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, rounds: int = 50
+    edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, rounds: int = 100
 ) -> DataFrame:
     """``host, score``: personalised PageRank over ``edges`` (``src, dst, n``) from ``seeds`` (``host``), which share 1.
 
     Rounds end when scores move by less than ``tolerance`` in sum. What a host
-    without links holds goes back to the seeds. No seeds, no rows.
+    without links holds is not handed on; giving it back to the seeds would
+    multiply all scores by one number. No seeds, no rows.
     """
     n_seeds = seeds.count()
     start = cut(seeds.select("host", F.lit(1.0 / max(n_seeds, 1)).alias("score")), "seeds")
+    given = start.select("host", (F.col("score") * (1 - damping)).alias("score"))
     out = edges.groupBy("src").agg(F.sum("n").alias("total"))
-    steps = cut(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share")), "steps")
-    scores = start
+    steps = cut(edges.join(out, "src").select("src", "dst", (damping * F.col("n") / F.col("total")).alias("share")), "steps")
+    scores = given
     for _ in range(rounds if n_seeds else 0):
-        flow = scores.join(steps, scores["host"] == steps["src"]).groupBy(F.col("dst").alias("host"))
-        flow = cut(flow.agg(F.sum(F.col("score") * F.col("share")).alias("score")), "flow")
-        moved = flow.agg(F.coalesce(F.sum("score"), F.lit(0.0))).first()[0]
-        parts = flow.select("host", (F.col("score") * damping).alias("score")).unionByName(
-            start.select("host", (F.col("score") * (1 - damping * moved)).alias("score"))
-        )
-        after = cut(parts.groupBy("host").agg(F.sum("score").alias("score")), "scores")
-        change = F.abs(F.coalesce(after["score"], F.lit(0.0)) - F.coalesce(scores["score"], F.lit(0.0)))
-        moved = after.join(scores, "host", "full").agg(F.coalesce(F.sum(change), F.lit(0.0))).first()[0]
+        flow = scores.join(steps, scores["host"] == steps["src"])
+        flow = flow.select(F.col("dst").alias("host"), (F.col("score") * F.col("share")).alias("score"))
+        after = cut(flow.unionByName(given).groupBy("host").agg(F.sum("score").alias("score")), "scores")
+        # scores only grow from round to round, so what they moved is the difference of the sums
+        change = after.agg(F.sum("score")).first()[0] - scores.agg(F.sum("score")).first()[0]
         scores = after
-        if moved < tolerance:
+        if change < tolerance:
             break
     return scores
 
