@@ -90,8 +90,7 @@ def _invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    returned = fx.table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
-    keys = returned.select(F.col("l_orderkey").cast("string").alias("id"))
+    keys = fx.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("id"))
     found = ops.read_by_keys(_invoices(spark, sf_dir), keys)
     return found.select("id", "date", "total", F.col("contact.name").alias("contact_name"))
 
@@ -267,7 +266,7 @@ def spec_base_url(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fx.land(fx.event_pages(spark, sf_dir), "event-pages")
     landed = streaming.drain(streaming.stream_landed(spark, folder))
-    return landed.select("dataset", "page", F.get_json_object("body", "$.$total").cast("int").alias("total"))
+    return landed.select("dataset", "page", F.get_json_object("body", "$.$total").cast("bigint").alias("total"))
 
 
 def stream_items(spark: SparkSession, sf_dir: str) -> DataFrame:

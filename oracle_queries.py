@@ -144,7 +144,7 @@ ORACLE: dict[str, str] = {
     "read_dataset": "SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS name, c_acctbal AS balance FROM customer",
     "unnest_envelope": """
         SELECT 'contact' AS dataset, CAST(c_custkey // 200 + 1 AS INTEGER) AS page,
-               CAST((SELECT count(*) FROM customer) AS INTEGER) AS total, CAST(c_custkey % 200 AS INTEGER) AS pos,
+               (SELECT count(*) FROM customer) AS total, CAST(c_custkey % 200 AS INTEGER) AS pos,
                c_custkey AS id, c_name AS name, c_mktsegment AS segment
         FROM customer""",
     "read_object": _CONTACT,
@@ -156,7 +156,7 @@ ORACLE: dict[str, str] = {
         SELECT CAST(o_orderkey AS VARCHAR) AS id, strftime(o_orderdate, '%Y-%m-%d') AS date, o_totalprice AS total,
                c_name AS contact_name
         FROM orders JOIN customer ON o_custkey = c_custkey
-        WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""",
+        WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
     "unmatched_keys": """
         SELECT DISTINCT CAST(l_partkey AS INTEGER) AS id FROM lineitem
         WHERE l_partkey NOT IN (SELECT c_custkey FROM customer)""",
@@ -196,19 +196,19 @@ ORACLE: dict[str, str] = {
         SELECT key, p.field AS field, p.problem AS problem FROM found WHERE p IS NOT NULL""",
     "page_audit": f"""
         WITH {_RECEIVED}
-        SELECT dataset, CAST((SELECT count(*) FROM orders) AS INTEGER) AS total, CAST(sum(items) AS BIGINT) AS items,
+        SELECT dataset, (SELECT count(*) FROM orders) AS total, CAST(sum(items) AS BIGINT) AS items,
                count(*) AS pages,
                (SELECT (count(*) + 199) // 200 FROM orders) - count(*) AS missing_pages,
-               CAST(sum(copies - 1) AS BIGINT) AS extra_copies,
-               sum(items) = (SELECT count(*) FROM orders) AS complete
+               CAST(0 AS BIGINT) AS extra_pages, CAST(sum(copies - 1) AS BIGINT) AS extra_copies,
+               sum(items) = (SELECT count(*) FROM orders) AND count(*) = (SELECT (count(*) + 199) // 200 FROM orders) AS complete
         FROM received WHERE copies > 0 GROUP BY dataset""",
     "missing_pages": f"WITH {_RECEIVED} SELECT dataset, CAST(page AS BIGINT) AS page FROM received WHERE copies = 0",
     "repeated_pages": f"WITH {_RECEIVED} SELECT dataset, page, CAST(copies AS BIGINT) AS copies FROM received WHERE copies > 1",
     "body_rejects": """
         SELECT o_orderkey AS page,
-               CASE o_orderpriority WHEN '2-HIGH' THEN 'not json' WHEN '3-MEDIUM' THEN 'no $items'
+               CASE o_orderpriority WHEN '1-URGENT' THEN 'not json' WHEN '2-HIGH' THEN 'not json' WHEN '3-MEDIUM' THEN 'no $items'
                     WHEN '4-NOT SPECIFIED' THEN 'not an object' ELSE 'null body' END AS reason
-        FROM orders WHERE o_orderpriority <> '1-URGENT'""",
+        FROM orders WHERE o_orderpriority <> '1-URGENT' OR o_orderstatus = 'P'""",
     "read_filtered": """
         SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status, strftime(o_orderdate, '%Y-%m-%d') AS date,
                o_totalprice AS total
@@ -291,7 +291,7 @@ ORACLE: dict[str, str] = {
         SELECT c_custkey AS spec_id, 'https://api-' || c_custkey || '.example.test/v' || c_nationkey AS base_url
         FROM customer""",
     "stream_pages": """
-        SELECT 'event' AS dataset, CAST(page AS INTEGER) AS page, CAST(n AS INTEGER) AS total
+        SELECT 'event' AS dataset, CAST(page AS INTEGER) AS page, n AS total
         FROM (SELECT count(*) AS n, UNNEST(range(1, (count(*) + 199) // 200 + 1)) AS page FROM events)""",
     "stream_items": _EVENT,
     "stream_api": _EVENT,

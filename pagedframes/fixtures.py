@@ -265,12 +265,16 @@ def faulty_invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def broken_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``page, body``: one body per order, good or broken in the way its priority tells."""
+    """``page, body``: one body per order, good or broken in the way its priority tells.
+
+    A good body promises more items than 32 bits can count; text follows it if the order is in process.
+    """
     orders = table(spark, sf_dir, "orders")
     item = F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("total")))
     priority = F.col("o_orderpriority")
+    after = F.when(F.col("o_orderstatus") == "P", " <html>").otherwise("")
     body = (
-        F.when(priority == "1-URGENT", F.concat(F.lit('{"$total":1,"$items":['), item, F.lit("]}")))
+        F.when(priority == "1-URGENT", F.concat(F.lit('{"$total":5000000000,"$items":['), item, F.lit("]}"), after))
         .when(priority == "2-HIGH", F.concat(F.lit('{"$total":1,"$items":['), item))
         .when(priority == "3-MEDIUM", F.concat(F.lit('{"error":'), item, F.lit("}")))
         .when(priority == "4-NOT SPECIFIED", F.concat(F.lit("["), item, F.lit("]")))

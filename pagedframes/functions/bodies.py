@@ -6,17 +6,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def whole_json(body: Column) -> Column:
+    """Whether the text is one JSON value and nothing else.
+
+    Spark's JSON functions stop at the end of the first value. Between
+    brackets, text after it is an error unless it begins with a closing
+    bracket, and between braces unless it begins with a closing brace; only
+    the end of the text passes both. Values are skipped over, so no tree is built.
+    """
+    listed = F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1
+    held = F.json_object_keys(F.concat(F.lit('{"v":'), body, F.lit("}"))).isNotNull()
+    return F.coalesce(listed & held, F.lit(False))
+
+
 def body_shape(body: Column) -> Column:
     """``object``, ``array``, ``scalar``, or null when the text is not JSON.
 
-    The first character says which probe to make. The probes for objects and
-    arrays skip over nested values, so no tree of the body is built.
+    The first character tells the shape, and the whole text must parse: what
+    stands after the end of a value makes it no JSON.
     """
     first = F.substring(F.ltrim(body, F.lit(" \t\r\n")), 1, 1)
     return (
-        F.when(first == "{", F.when(F.json_object_keys(body).isNotNull(), F.lit("object")))
-        .when(first == "[", F.when(F.json_array_length(body).isNotNull(), F.lit("array")))
-        .when(F.try_parse_json(body).isNotNull(), F.lit("scalar"))
+        F.when(~whole_json(body), F.lit(None).cast("string"))
+        .when(first == "{", F.lit("object"))
+        .when(first == "[", F.lit("array"))
+        .otherwise(F.lit("scalar"))
     )
 
 

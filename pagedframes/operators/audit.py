@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pagedframes.constants import PAGE_SIZE
 from pagedframes.plans.pages import page_plan
 
-_ENVELOPE = "`$total` int, `$items` array<string>"
+_ENVELOPE = "`$total` bigint, `$items` array<string>"
 
 
 def _per_page(pages: DataFrame) -> DataFrame:
@@ -17,39 +17,49 @@ def _per_page(pages: DataFrame) -> DataFrame:
     return parsed.groupBy("dataset", "page").agg(
         F.count("*").alias("copies"),
         F.max("e.`$total`").alias("total"),
-        F.max(F.size("e.`$items`")).alias("items"),
+        F.max(F.coalesce(F.array_size("e.`$items`"), F.lit(0))).alias("items"),
     )
 
 
-def page_audit(pages: DataFrame) -> DataFrame:
+def page_audit(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """Per dataset: the promised ``total``, the ``items`` and ``pages`` that are there, and what is amiss.
 
-    Items of repeated pages count once. Both groupings combine before they
-    shuffle, so a dataset that owns most of the pages costs no more.
+    ``missing_pages`` counts planned pages that are not there and
+    ``extra_pages`` those beyond the plan, so the two cannot make up for each
+    other; both, and ``complete``, are null if no page tells a total. Items of
+    repeated pages count once, and a page that cannot be read holds none. The
+    groupings combine before they shuffle, so a dataset that owns most of the
+    pages costs no more.
     """
+    each = _per_page(pages)
+    totals = each.groupBy("dataset").agg(F.max("total").alias("promised"))
+    planned = F.greatest(F.lit(1), F.ceil(F.col("promised") / page_size)).cast("bigint")
+    totals = totals.withColumn("planned", F.when(F.col("promised").isNotNull(), planned))
+    inside = F.col("page").between(1, F.col("planned"))
     audit = (
-        _per_page(pages)
-        .groupBy("dataset")
+        each.join(totals, "dataset")
+        .groupBy("dataset", "promised", "planned")
         .agg(
-            F.max("total").alias("total"),
             F.sum("items").alias("items"),
             F.count("*").alias("pages"),
+            F.count_if(inside).alias("there"),
             F.sum(F.col("copies") - 1).alias("extra_copies"),
         )
     )
-    planned = F.greatest(F.lit(1), F.ceil(F.col("total") / PAGE_SIZE)).cast("bigint")
+    missing = F.col("planned") - F.col("there")
     return audit.select(
         "dataset",
-        "total",
+        F.col("promised").alias("total"),
         "items",
         "pages",
-        (planned - F.col("pages")).alias("missing_pages"),
+        missing.alias("missing_pages"),
+        F.when(F.col("planned").isNotNull(), F.col("pages") - F.col("there")).alias("extra_pages"),
         "extra_copies",
-        (F.col("items") == F.col("total")).alias("complete"),
+        ((F.col("items") == F.col("promised")) & (missing == 0)).alias("complete"),
     )
 
 
-def missing_pages(pages: DataFrame) -> DataFrame:
+def missing_pages(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """The planned pages ``(dataset, page)`` that are not there."""
     totals = (
         pages.select("dataset", F.from_json("body", _ENVELOPE).getField("$total").alias("total"))
@@ -57,7 +67,7 @@ def missing_pages(pages: DataFrame) -> DataFrame:
         .agg(F.max("total").alias("total"))
     )
     there = pages.select("dataset", F.col("page").cast("bigint").alias("page")).distinct()
-    return page_plan(totals).select("dataset", "page").join(there, ["dataset", "page"], "left_anti")
+    return page_plan(totals, page_size).select("dataset", "page").join(there, ["dataset", "page"], "left_anti")
 
 
 def repeated_pages(pages: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pagedframes.functions.urls import page_query, query_string
 _BLOCK = 10_000  # pages per block
 
 
-def page_plan(totals: DataFrame) -> DataFrame:
+def page_plan(totals: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """``(dataset, total[, params])`` to one row per page, with its query string.
 
     An empty dataset still has its first page. Pages come out of blocks that
@@ -20,7 +20,7 @@ def page_plan(totals: DataFrame) -> DataFrame:
     """
     spark = totals.sparkSession
     params = F.col("params") if "params" in totals.columns else F.create_map().cast("map<string,string>")
-    count = F.greatest(F.lit(1), F.ceil(F.col("total") / PAGE_SIZE)).cast("bigint")
+    count = F.greatest(F.lit(1), F.ceil(F.col("total") / page_size)).cast("bigint")
     blocks = totals.select("dataset", query_string(params).alias("__base"), count.alias("__count")).select(
         "*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__count") - 1) / _BLOCK))).alias("__block")
     )

@@ -211,10 +211,15 @@ def flat_fields(paths: DataFrame) -> DataFrame:
 
 
 def declared_schema(paths: DataFrame, schema_name: str, spec_id: object = None) -> T.StructType:
-    """The ``StructType`` of one schema. Only that schema's field rows come to the driver."""
+    """The ``StructType`` of one schema. Only that schema's field rows of one document come to the driver.
+
+    ``spec_id`` tells which document, and may be left out where only one has the schema.
+    """
     own = paths.filter(F.col("schema_name") == schema_name)
     if spec_id is not None:
         own = own.filter(F.col("spec_id") == F.lit(spec_id))
+    elif own.select("spec_id").distinct().limit(2).count() > 1:
+        raise ValueError(f"several documents have {schema_name}: say which one by spec_id")
     rows = sorted(own.collect(), key=lambda r: r["pos"])
     if not rows:
         raise ValueError(f"the description has no fields for {schema_name}")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagedframes.functions.bodies import body_shape
+from pagedframes.functions.bodies import body_shape, whole_json
 
 TOTAL = "$total"
 ITEMS = "$items"
@@ -20,7 +20,7 @@ SLICE = ("first", "size")  # columns of the paged source: which items of the pag
 
 
 def _envelope(record: T.DataType) -> T.StructType:
-    return T.StructType().add(TOTAL, T.IntegerType()).add(ITEMS, T.ArrayType(record))
+    return T.StructType().add(TOTAL, T.LongType()).add(ITEMS, T.ArrayType(record))
 
 
 def _fail(*message: Column | str) -> Column:
@@ -32,7 +32,8 @@ def _open(pages: DataFrame, record: T.DataType, body: str, strict: bool) -> tupl
     """The pages with their body parsed, the columns to keep, and the items to explode."""
     sliced = all(c in pages.columns for c in SLICE)
     keep = [F.col(f"`{c}`") for c in pages.columns if c != body and not (sliced and c in SLICE)]
-    parsed = pages.withColumn("__envelope", F.from_json(body, _envelope(record)))
+    parsed = pages.withColumn("__envelope", F.when(whole_json(F.col(f"`{body}`")), F.from_json(body, _envelope(record))))
+    # from_json stops at the end of the first value; text after it makes the body unreadable
     items = F.col("__envelope").getField(ITEMS)
     held = F.coalesce(items, F.array())
     if strict:
@@ -97,8 +98,8 @@ def body_rejects(pages: DataFrame, body: str = "body") -> DataFrame:
     items = F.from_json(text, _envelope(T.StringType())).getField(ITEMS)
     reason = (
         F.when(text.isNull(), F.lit("null body"))
-        .when(items.isNotNull(), F.lit(None).cast("string"))
         .when(shape.isNull(), F.lit("not json"))
+        .when(items.isNotNull(), F.lit(None).cast("string"))
         .when(shape != "object", F.lit("not an object"))
         .otherwise(F.lit("no $items"))
     )

@@ -51,6 +51,10 @@ BROKEN = {
     '[{"$items":[1]}]': "not an object",
     '{"$total":1,"$items":[{"id":"cut"}': "not json",
     "7": "not an object",
+    '{"$total":2,"$items":[{"id":"a"}]} <html>': "not json",
+    '{"$total":1,"$items":[{"id":"a"}]}] [1': "not json",
+    '{"$total":1,"$items":[{"id":"a"}]}} {': "not json",
+    '{"$total":1,"$items":[{"id":"a"}]},"v":{}': "not json",
 }
 
 

@@ -74,14 +74,33 @@ def received(spark):
 def test_audit(spark):
     found = {r["dataset"]: tuple(r)[1:] for r in page_audit(received(spark)).collect()}
     assert found == {
-        "a": (900, 700, 4, 1, 1, False),
-        "empty": (0, 0, 1, 0, 0, True),
-        "full": (200, 200, 1, 0, 0, True),
+        "a": (900, 700, 4, 1, 0, 1, False),
+        "empty": (0, 0, 1, 0, 0, 0, True),
+        "full": (200, 200, 1, 0, 0, 0, True),
     }
     assert [tuple(r) for r in missing_pages(received(spark)).collect()] == [("a", 3)]
     assert [tuple(r) for r in repeated_pages(received(spark)).collect()] == [("a", 2, 2)]
 
 
+def test_audit_does_not_cancel_out(spark):
+    def page(dataset, number, n, total):
+        body = page_body([{"id": i} for i in range(n)], number, total)
+        return dataset, number, body.replace('"$total": null', '"$other": 0')
+
+    rows = [page("gap", 1, 200, 400), page("gap", 3, 200, 400), page("huge", 1, 200, 5_000_000_000)]
+    rows += [("untold", 1, '{"$items": [1, 2]}'), ("small", 1, page_body([1] * 100, 1, 150)), ("small", 2, page_body([1] * 50, 2, 150))]
+    pages = spark.createDataFrame([*rows, ("broken", 1, "oops")], "dataset STRING, page INT, body STRING")
+    found = {r["dataset"]: tuple(r)[1:] for r in page_audit(pages).collect()}
+    assert found["gap"] == (400, 400, 2, 1, 1, 0, False)
+    assert found["huge"] == (5_000_000_000, 200, 1, 24_999_999, 0, 0, False)
+    assert found["untold"] == (None, 2, 1, None, None, 0, None)
+    assert found["broken"] == (None, 0, 1, None, None, 0, None)
+    tens = {r["dataset"]: tuple(r)[1:] for r in page_audit(pages.filter("dataset = 'small'"), page_size=100).collect()}
+    assert tens == {"small": (150, 150, 2, 0, 0, 0, True)}
+    gap = pages.filter("dataset in ('gap', 'small')")
+    assert [tuple(r) for r in missing_pages(gap).collect()] == [("gap", 2)]
+
+
 def test_requests_in_bulk(spark):
     params = "ARRAY<STRUCT<name: STRING, type: STRING, enum: ARRAY<STRING>, required: BOOLEAN>>"
     declared = [
