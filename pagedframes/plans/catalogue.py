@@ -120,11 +120,14 @@ def dataset_endpoint(endpoints: DataFrame) -> DataFrame:
     """``(spec_id, schema_name, kind)`` to the endpoint that serves it; the one written last wins.
 
     ``kind`` is ``item`` for endpoints that take a ``{key}`` and ``list`` for
-    the others, so reading a list never ends at the endpoint of one record.
+    those without a placeholder, so reading a list never ends at the endpoint
+    of one record. Endpoints with other placeholders serve neither.
     """
+    rest = F.replace("endpoint", F.lit("{key}"))
     kind = F.when(F.contains(F.col("endpoint"), F.lit("{key}")), F.lit("item")).otherwise(F.lit("list"))
     return (
         read_paths(endpoints)
+        .filter(~F.contains(rest, F.lit("{")))
         .groupBy("spec_id", "schema_name", kind.alias("kind"))
         .agg(
             F.max_by("endpoint", "pos").alias("endpoint"),

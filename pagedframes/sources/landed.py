@@ -26,10 +26,11 @@ def land_pages(pages: DataFrame, path: str, mode: str = "errorifexists") -> None
     """Write ``dataset, page, body`` in blocks of consecutive pages, ordered by page.
 
     A block is a folder whose name follows from the page number, so whoever
-    wants a page range finds it without listing or opening anything else.
+    wants a page range finds it without opening any other block. Many small
+    datasets share block 0, but are dealt out over many files.
     """
     block = F.expr(f"(page - 1) div {BLOCK_PAGES}")
-    blocks = pages.select("dataset", "page", "body", block.alias("block")).repartition("block")
+    blocks = pages.select("dataset", "page", "body", block.alias("block")).repartition("dataset", "block")
     # bodies are large: small row groups let a page range skip most of its block
-    writer = blocks.sortWithinPartitions("block", "page").write.option("parquet.block.size", 8 * 1024 * 1024)
+    writer = blocks.sortWithinPartitions("block", "dataset", "page").write.option("parquet.block.size", 8 * 1024 * 1024)
     writer.mode(mode).partitionBy("block").parquet(path)

@@ -200,6 +200,7 @@ class PagedStreamReader(DataSourceStreamReader):
 
     def __init__(self, transport: Transport, options: dict[str, str]):
         self.endpoint = _Endpoint(transport, options)
+        self.seen = 0
 
     def initialOffset(self) -> dict:
         return {"items": 0}
@@ -208,11 +209,17 @@ class PagedStreamReader(DataSourceStreamReader):
         total = self.endpoint.total()
         if total is None:
             raise ValueError(f"{self.endpoint.name} gives no $total, so it cannot be streamed")
+        if total < self.seen:
+            raise ValueError(f"{self.endpoint.name} shrank from {self.seen} to {total} items, so it cannot be streamed")
+        self.seen = total
         return {"items": total}
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
         begin, stop = start["items"], end["items"]
-        if begin >= stop:
+        if begin > stop:
+            # items that are gone shift all later ones, so what comes next could not be told from what was read
+            raise ValueError(f"{self.endpoint.name} shrank from {begin} to {stop} items, so it cannot be streamed")
+        if begin == stop:
             return []
         size = self.endpoint.size
         first, last = begin // size + 1, -(-stop // size)

@@ -141,6 +141,12 @@ def test_last_written_endpoint_wins_per_kind(spark):
     assert {(r["kind"], r["endpoint"]) for r in rows} == {("list", "/a"), ("item", "/y/{key}")}
 
 
+def test_other_placeholders_serve_no_dataset(spark):
+    paths = {path: {"get": op(ref("A"))} for path in ("/a", "/a/{key}", "/a/{id}/hist", "/b/{id}/a/{key}")}
+    rows = plans.dataset_endpoint(plans.endpoints(specs(spark, {"paths": paths}))).collect()
+    assert {(r["kind"], r["endpoint"]) for r in rows} == {("list", "/a"), ("item", "/a/{key}")}
+
+
 def test_params(spark):
     parameters = [
         {"in": "path", "name": "key", "type": "string", "required": True},

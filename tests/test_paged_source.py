@@ -195,3 +195,26 @@ def test_http_refusals_are_final(code):
     with pytest.raises(urllib.error.HTTPError):
         HttpTransport("https://a.test", pause=0, opener=answers).get("/v")
     assert len(answers.requests) == 1
+
+
+def test_a_stream_does_not_go_back():
+    total = [250]
+    reader = PagedStreamReader(FunctionTransport(lambda url: '{"$total": %d, "$items": []}' % total[0]), {"endpoint": "/x"})
+    assert reader.latestOffset() == {"items": 250}
+    total[0] = 240
+    with pytest.raises(ValueError, match="shrank from 250 to 240"):
+        reader.latestOffset()
+    with pytest.raises(ValueError, match="shrank"):
+        reader.partitions({"items": 250}, {"items": 240})
+    assert reader.partitions({"items": 250}, {"items": 250}) == []
+
+
+def test_many_small_datasets_are_many_files(spark, tmp_path):
+    pages = spark.range(2000).select(F.col("id").cast("string").alias("dataset"), F.lit(1).alias("page"), F.lit("{}").alias("body"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        land_pages(pages, str(tmp_path / "landed"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = list((tmp_path / "landed").glob("block=0/*.parquet"))
+    assert len(files) == 8 and spark.read.parquet(str(tmp_path / "landed")).count() == 2000
