@@ -1,4 +1,4 @@
-"""Fixed values of the paged API, which must match what its servers do, and of the landing table."""
+"""Page size and parameter names must match the servers; how requests are paced is up to the reader."""
 
 PAGE_SIZE = 200  # items per page
 PAGING_PARAMS = ("items_per_page", "page")  # set by the reader, never by the caller

@@ -1,4 +1,4 @@
-from pagedframes.sources.bodies import csv_lines, csv_rows, decode_bodies
+from pagedframes.sources.bodies import csv_lines, csv_rejects, csv_rows, decode_bodies
 from pagedframes.sources.envelope import (
     body_rejects,
     read_array,
@@ -12,6 +12,7 @@ from pagedframes.sources.transport import FunctionTransport, HttpTransport, Land
 
 __all__ = [
     "csv_lines",
+    "csv_rejects",
     "csv_rows",
     "decode_bodies",
     "body_rejects",

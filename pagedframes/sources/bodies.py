@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,16 +28,37 @@ def csv_lines(bodies: DataFrame, content: str = "content") -> DataFrame:
     return bodies.select(*keep, F.posexplode(F.split(text, "\r?\n")).alias("pos", "line"))
 
 
-def csv_rows(bodies: DataFrame, schema: T.StructType, content: str = "content") -> DataFrame:
-    """CSV bodies as typed rows; a body whose header is not the declared one fails.
+_BAD = "__bad"
 
-    The header differs from endpoint to endpoint, so reading by position
-    without this check could shift columns unseen.
-    """
+
+def _csv_parsed(bodies: DataFrame, schema: T.StructType, content: str) -> tuple[DataFrame, list[Column]]:
+    """The lines below the header with ``__row``, whose field ``__bad`` is the line if it is not as declared."""
     lines = csv_lines(bodies, content)
     keep = [F.col(f"`{c}`") for c in lines.columns if c not in ("pos", "line")]
     names = ",".join(schema.fieldNames())
     wrong = F.raise_error(F.concat(F.lit(f"CSV header should be {names}, is "), F.col("line")))
     is_row = F.when(F.col("pos") > 0, F.lit(True)).when(F.col("line") == names, F.lit(False)).otherwise(wrong)
-    row = F.from_csv("line", schema.toDDL())
-    return lines.filter(is_row).select(*keep, "pos", row.alias("__row")).select(*keep, "pos", "__row.*")
+    row = F.from_csv("line", f"{schema.toDDL()}, {_BAD} string", {"columnNameOfCorruptRecord": _BAD})
+    return lines.filter(is_row).select(*keep, "pos", "line", row.alias("__row")), keep
+
+
+def csv_rows(bodies: DataFrame, schema: T.StructType, content: str = "content") -> DataFrame:
+    """CSV bodies as typed rows; a body whose header is not the declared one fails.
+
+    The header differs from endpoint to endpoint, so reading by position
+    without this check could shift columns unseen. A line with more or fewer
+    values, or with one that its column cannot hold, fails too; blank lines
+    are no rows. :func:`csv_rejects` lists them all.
+    """
+    parsed, keep = _csv_parsed(bodies, schema, content)
+    bad = F.col(f"__row.{_BAD}")
+    told = F.raise_error(F.concat(F.lit("CSV line "), F.col("pos").cast("string"), F.lit(" is not as declared: "), bad))
+    rows = parsed.filter(F.trim("line") != "").filter(F.when(bad.isNull(), F.lit(True)).otherwise(told))
+    return rows.select(*keep, "pos", *[F.col(f"__row.`{c}`") for c in schema.fieldNames()])
+
+
+def csv_rejects(bodies: DataFrame, schema: T.StructType, content: str = "content") -> DataFrame:
+    """The lines ``pos, line`` that are no rows, each with a ``reason``: ``blank`` or ``not as declared``."""
+    parsed, keep = _csv_parsed(bodies, schema, content)
+    reason = F.when(F.trim("line") == "", "blank").when(F.col(f"__row.{_BAD}").isNotNull(), "not as declared")
+    return parsed.select(*keep, "pos", "line", reason.alias("reason")).filter("reason is not null")

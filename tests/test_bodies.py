@@ -3,7 +3,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
 from pagedframes.operators import url_param_values, url_params
-from pagedframes.sources import csv_lines, csv_rows, decode_bodies, pages_from_files, unnest
+from pagedframes.sources import csv_lines, csv_rejects, csv_rows, decode_bodies, pages_from_files, unnest
 
 PRODUCT = T.StructType().add("id", T.IntegerType()).add("name", T.StringType())
 
@@ -36,6 +36,17 @@ def test_csv_with_another_header_fails(spark):
         csv_rows(csv(spark, "name,id\nx,1"), PRODUCT).count()
 
 
+def test_csv_lines_that_are_no_rows(spark):
+    bad = csv(spark, "id,name\n1,a\n\n2\n3,b,c\nx,d\n4,\n")
+    told = {r["pos"]: (r["line"], r["reason"]) for r in csv_rejects(bad, PRODUCT).collect()}
+    no = "not as declared"
+    assert told == {2: ("", "blank"), 3: ("2", no), 4: ("3,b,c", no), 5: ("x,d", no)}
+    with pytest.raises(PySparkException, match="CSV line 3 is not as declared: 2"):
+        csv_rows(csv(spark, "id,name\n1,a\n\n2\n"), PRODUCT).collect()
+    rows = csv_rows(csv(spark, "id,name\n1,a\n\n4,\n"), PRODUCT).collect()
+    assert [(r["pos"], r["id"], r["name"]) for r in rows] == [(1, 1, "a"), (3, 4, None)]
+
+
 CASES = {
     "https://a.test/p": [],
     "https://a.test/p?k=v&k=w&flag#f": [("k", "v"), ("k", "w"), ("flag", None)],
