@@ -338,6 +338,9 @@ def near_copies(seed):
 def test_similar_groups_match_brute_force(spark, monkeypatch, n, percent, docs):
     monkeypatch.setattr(jaccard, "TREE_DOCS", docs)  # several trees in a cluster
     rows = near_copies(n) + [r for r in ODD if r[1] is not LONG] + [(14, "k l m n o p q r"), (14, "other words of row fourteen")]
+    # an id whose one row is a copy, and whose other row alone is like a third document
+    long = " ".join(f"y{k}" for k in range(60))
+    rows += [(9001, "k l m n o p q r"), (9001, long), (9002, f"{long} and")]
     got = defaultdict(lambda: [[], set()])
     for r in jaccard.similar_groups(frame(spark, rows), n, percent).collect():
         got[r.doc_id][0].append(r.n_shingles)
