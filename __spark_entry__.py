@@ -12,7 +12,7 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _HOME = os.path.dirname(os.path.abspath(__file__))
@@ -36,13 +36,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 def _flat_invoice(rows: DataFrame) -> DataFrame:
     """Flattened invoices with their arrays spelled out, so that any engine can compare them."""
     flat = ops.flatten(rows)
-    taxes, tags, steps = F.col("tax_breakdown"), F.col("tags"), F.col("audit_steps")
+
+    def cents(amount: Column) -> Column:
+        return F.floor(amount * 100).cast("string")
+
+    def text(array: str, *fields: Callable[[Column], Column]) -> Column:
+        return F.array_join(F.transform(array, lambda e: F.concat_ws(":", *[f(e) for f in fields])), "|")
+
+    line = [lambda e: e["part"], lambda e: e["line"].cast("string"), *[(lambda e, n=n: cents(e[n])) for n in ("quantity", "price", "discount")]]
     return flat.select(
-        *[c for c in flat.columns if c not in ("tax_breakdown", "tags", "audit_steps")],
-        F.get(taxes, F.lit(0))["label"].alias("tax_label"),
-        F.get(taxes, F.lit(1))["amount"].alias("tax_held"),
-        F.array_join(tags, "|").alias("tag_text"),
-        F.get(steps, F.lit(0))["n"].alias("step_n"),
+        *[c for c in flat.columns if c not in ("tax_breakdown", "tags", "audit_steps", "invoice_lines")],
+        text("tax_breakdown", lambda e: e["label"], lambda e: cents(e["amount"])).alias("tax_text"),
+        F.array_join("tags", "|").alias("tag_text"),
+        text("audit_steps", lambda e: e["at"], lambda e: e["n"].cast("string")).alias("step_text"),
+        text("invoice_lines", *line).alias("line_text"),
     )
 
 
@@ -97,7 +104,7 @@ def read_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unmatched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     contacts = ops.typed_rows(fx.items_of(fx.contact_records(spark, sf_dir)), fx.CONTACT)
-    keys = fx.table(spark, sf_dir, "lineitem").select(F.col("l_partkey").cast("int").alias("id"))
+    keys = fx.table(spark, sf_dir, "lineitem").select(F.col("l_partkey").cast("string").alias("id"))
     return ops.unmatched_keys(contacts, keys)
 
 
@@ -139,7 +146,7 @@ def typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         contact["id"].alias("contact_id"),
         contact["region"]["group"]["name"].alias("group_name"),
         F.col("audit")["paid"].alias("paid"),
-        F.size("tax_breakdown").alias("taxes"),
+        F.size("invoice_lines").alias("lines"),
     )
 
 

@@ -10,24 +10,30 @@ JOIN region ON n_regionkey = r_regionkey
 """
 
 _FLAT_INVOICE = f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_orderkey AS INTEGER) AS number,
+SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_orderkey % 2000000000 AS INTEGER) AS number,
        strftime(o_orderdate, '%Y-%m-%d') AS date, o_totalprice AS total, o_orderstatus AS status,
-       CAST(c_custkey AS INTEGER) AS contact_id, c_name AS contact_name, c_acctbal AS contact_balance,
+       CAST(c_custkey AS VARCHAR) AS contact_id, c_name AS contact_name, c_acctbal AS contact_balance,
        n_name AS contact_region_name, r_name AS contact_region_group_name,
        c_mktsegment AS audit_by, o_orderstatus = 'F' AS audit_paid,
-       'net' AS tax_label, c_acctbal AS tax_held,
-       o_orderpriority || '|' || c_mktsegment AS tag_text, c_nationkey AS step_n
+       'net:' || CAST(floor(o_totalprice * 100) AS BIGINT) || '|held:' || CAST(floor(c_acctbal * 100) AS BIGINT) AS tax_text,
+       o_orderpriority || '|' || c_mktsegment AS tag_text,
+       strftime(o_orderdate, '%Y-%m-%d') || ':' || c_nationkey AS step_text, coalesce(held, '') AS line_text
 {_INVOICE_JOIN}
+LEFT JOIN (
+  SELECT l_orderkey, string_agg(concat_ws(':', l_partkey, l_linenumber, CAST(floor(l_quantity * 100) AS BIGINT),
+           CAST(floor(l_extendedprice * 100) AS BIGINT), CAST(floor(l_discount * 100) AS BIGINT)), '|'
+           ORDER BY CAST(l_partkey AS VARCHAR), l_linenumber, l_quantity, l_extendedprice, l_discount) AS held
+  FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey
 """
 
 _EVENT = """
-SELECT CAST(event_id AS INTEGER) AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, CAST(user_id AS INTEGER) AS "user",
+SELECT CAST(event_id AS VARCHAR) AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, CAST(user_id AS VARCHAR) AS "user",
        event_type AS kind, value, CAST(json_extract(props, '$.k') AS INTEGER) AS props_k
 FROM events
 """
 
 _CONTACT = """
-SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment FROM customer
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment FROM customer
 """
 
 # customers stand for descriptions; @SEG@ and @NATION@ are filled in from the customer
@@ -64,7 +70,7 @@ paths AS (
     ('Region', 'name', 'string', true, true, false, NULL),
     ('Region', 'group', 'struct', true, true, false, NULL),
     ('Region', 'group.name', 'string', true, true, false, NULL),
-    ('Contact', 'id', 'int', false, false, false, NULL),
+    ('Contact', 'id', 'string', false, false, false, NULL),
     ('Contact', 'name', 'string', true, true, false, NULL),
     ('Contact', 'balance', 'double', true, true, false, NULL),
     ('Contact', 'region', 'struct', true, true, false, NULL),
@@ -80,7 +86,7 @@ paths AS (
     ('@SEG@Invoice', 'total', 'double', true, true, false, NULL),
     ('@SEG@Invoice', 'status', 'string', true, true, false, NULL),
     ('@SEG@Invoice', 'contact', 'struct', true, true, false, NULL),
-    ('@SEG@Invoice', 'contact.id', 'int', false, true, false, NULL),
+    ('@SEG@Invoice', 'contact.id', 'string', false, true, false, NULL),
     ('@SEG@Invoice', 'contact.name', 'string', true, true, false, NULL),
     ('@SEG@Invoice', 'contact.balance', 'double', true, true, false, NULL),
     ('@SEG@Invoice', 'contact.region', 'struct', true, true, false, NULL),
@@ -116,7 +122,7 @@ found AS (
 # invoice pages as they were received: how often each came
 _RECEIVED = """
 sent AS (
-  SELECT 'invoice' AS dataset, CAST(o_orderkey // 200 + 1 AS INTEGER) AS page, count(*) AS items,
+  SELECT 'invoice' AS dataset, o_orderkey // 200 + 1 AS page, count(*) AS items,
          arg_min(o_orderstatus, o_orderkey) AS status, arg_min(o_orderpriority, o_orderkey) AS priority
   FROM orders GROUP BY ALL),
 received AS (
@@ -141,16 +147,16 @@ pair AS (
 ORACLE: dict[str, str] = {
     "read_paged": _FLAT_INVOICE,
     "flatten": _FLAT_INVOICE,
-    "read_dataset": "SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS name, c_acctbal AS balance FROM customer",
+    "read_dataset": "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_acctbal AS balance FROM customer",
     "unnest_envelope": """
-        SELECT 'contact' AS dataset, CAST(c_custkey // 200 + 1 AS INTEGER) AS page,
+        SELECT 'contact' AS dataset, c_custkey // 200 + 1 AS page,
                (SELECT count(*) FROM customer) AS total, CAST(c_custkey % 200 AS INTEGER) AS pos,
                c_custkey AS id, c_name AS name, c_mktsegment AS segment
         FROM customer""",
     "read_object": _CONTACT,
     "read_array": """
-        SELECT CAST(c_custkey // 200 + 1 AS INTEGER) AS page, CAST(c_custkey % 200 AS INTEGER) AS pos,
-               CAST(c_custkey AS INTEGER) AS id, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment
+        SELECT c_custkey // 200 + 1 AS page, CAST(c_custkey % 200 AS INTEGER) AS pos,
+               CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment
         FROM customer""",
     "read_by_key": """
         SELECT CAST(o_orderkey AS VARCHAR) AS id, strftime(o_orderdate, '%Y-%m-%d') AS date, o_totalprice AS total,
@@ -158,7 +164,7 @@ ORACLE: dict[str, str] = {
         FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
     "unmatched_keys": """
-        SELECT DISTINCT CAST(l_partkey AS INTEGER) AS id FROM lineitem
+        SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS id FROM lineitem
         WHERE l_partkey NOT IN (SELECT c_custkey FROM customer)""",
     "page_plan": """
         WITH totals AS (SELECT event_type AS dataset, count(*) AS total FROM events GROUP BY event_type)
@@ -170,17 +176,18 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'html', page_id, md5(html), CAST(length(html) AS INTEGER) FROM pages
         UNION ALL SELECT 'json', event_id, md5(props), CAST(length(props) AS INTEGER) FROM events""",
     "csv_bodies": """
-        SELECT CAST(p_partkey // 200 AS INTEGER) AS body_id, CAST(p_partkey % 200 + 1 AS INTEGER) AS pos,
-               CAST(p_partkey AS INTEGER) AS id, p_name AS name, p_brand AS brand, p_size AS size,
+        SELECT p_partkey // 200 AS body_id, CAST(p_partkey % 200 + 1 AS INTEGER) AS pos,
+               CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_brand AS brand, p_size AS size,
                p_retailprice AS price
         FROM part""",
     "typed_rows": f"""
-        SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_orderkey AS INTEGER) AS number, o_totalprice AS total,
-               o_orderstatus AS status, CAST(c_custkey AS INTEGER) AS contact_id, r_name AS group_name,
-               o_orderstatus = 'F' AS paid, 2 AS taxes
+        SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_orderkey % 2000000000 AS INTEGER) AS number, o_totalprice AS total,
+               o_orderstatus AS status, CAST(c_custkey AS VARCHAR) AS contact_id, r_name AS group_name,
+               o_orderstatus = 'F' AS paid,
+               (SELECT CAST(count(*) AS INTEGER) FROM lineitem WHERE l_orderkey = o_orderkey) AS lines
         {_INVOICE_JOIN}""",
     "infer_rows": """
-        SELECT event_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, user_id AS "user", event_type AS kind, value,
+        SELECT CAST(event_id AS VARCHAR) AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, CAST(user_id AS VARCHAR) AS "user", event_type AS kind, value,
                CAST(json_extract(props, '$.k') AS BIGINT) AS props_k
         FROM events""",
     "flatten_schema": f"""
@@ -269,7 +276,7 @@ ORACLE: dict[str, str] = {
           ('Group', 0, 'name', 'string', true, NULL, NULL),
           ('Region', 0, 'name', 'string', true, NULL, NULL),
           ('Region', 1, 'group', 'struct', true, 'Group', NULL),
-          ('Contact', 0, 'id', 'int', false, NULL, NULL),
+          ('Contact', 0, 'id', 'string', false, NULL, NULL),
           ('Contact', 1, 'name', 'string', true, NULL, NULL),
           ('Contact', 2, 'balance', 'double', true, NULL, NULL),
           ('Contact', 3, 'region', 'struct', true, 'Region', NULL),
@@ -291,7 +298,7 @@ ORACLE: dict[str, str] = {
         SELECT c_custkey AS spec_id, 'https://api-' || c_custkey || '.example.test/v' || c_nationkey AS base_url
         FROM customer""",
     "stream_pages": """
-        SELECT 'event' AS dataset, CAST(page AS INTEGER) AS page, n AS total
+        SELECT 'event' AS dataset, page, n AS total
         FROM (SELECT count(*) AS n, UNNEST(range(1, (count(*) + 199) // 200 + 1)) AS page FROM events)""",
     "stream_items": _EVENT,
     "stream_api": _EVENT,

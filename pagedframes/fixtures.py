@@ -18,6 +18,9 @@ from pagedframes.sources.landed import land_pages
 from pagedframes.storage import new_folder
 
 
+#: numbers that a series of invoices holds; a declared integer has 32 bits, so keys are text
+SERIES = 2_000_000_000
+
 _TEXT, _INT, _REAL, _FLAG = T.StringType(), T.IntegerType(), T.DoubleType(), T.BooleanType()
 
 
@@ -35,14 +38,15 @@ INVOICE = _struct(
     date=_TEXT,
     total=_REAL,
     status=_TEXT,
-    contact=_struct(("id",), id=_INT, name=_TEXT, balance=_REAL, region=_REGION),
+    contact=_struct(("id",), id=_TEXT, name=_TEXT, balance=_REAL, region=_REGION),
     tax_breakdown=T.ArrayType(_struct(label=_TEXT, amount=_REAL)),
     tags=T.ArrayType(_TEXT),
     audit=_struct(by=_TEXT, paid=_FLAG, steps=_STEPS),
+    invoice_lines=T.ArrayType(_struct(part=_TEXT, line=_INT, quantity=_REAL, price=_REAL, discount=_REAL)),
 )
-CONTACT = _struct(("id",), id=_INT, name=_TEXT, balance=_REAL, segment=_TEXT)
-PRODUCT = _struct(id=_INT, name=_TEXT, brand=_TEXT, size=_INT, price=_REAL)
-EVENT = _struct(("id",), id=_INT, at=_TEXT, user=_INT, kind=_TEXT, value=_REAL, props=_struct(k=_INT))
+CONTACT = _struct(("id",), id=_TEXT, name=_TEXT, balance=_REAL, segment=_TEXT)
+PRODUCT = _struct(id=_TEXT, name=_TEXT, brand=_TEXT, size=_INT, price=_REAL)
+EVENT = _struct(("id",), id=_TEXT, at=_TEXT, user=_TEXT, kind=_TEXT, value=_REAL, props=_struct(k=_INT))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,19 +63,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- records ---------------------------------------------------------------
 
 
+def _invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``l_orderkey, lines``: the lines of each order, sorted as a whole since line numbers repeat."""
+    line = F.struct(
+        F.col("l_partkey").cast("string").alias("part"),
+        F.col("l_linenumber").alias("line"),
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_extendedprice").alias("price"),
+        F.col("l_discount").alias("discount"),
+    )
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+
+
 def invoice_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``key, record``: one invoice per order; nested as :data:`INVOICE`."""
+    """``key, record``: one invoice per order, with the lines of that order (some have none); nested as :data:`INVOICE`."""
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     nation, region = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("nation", "region"))
     joined = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(_invoice_lines(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
     )
     date = F.date_format("o_orderdate", "yyyy-MM-dd")
     group = F.struct(F.col("r_name").alias("name"))
     contact = F.struct(
-        F.col("c_custkey").cast("int").alias("id"),
+        F.col("c_custkey").cast("string").alias("id"),
         F.col("c_name").alias("name"),
         F.col("c_acctbal").alias("balance"),
         F.struct(F.col("n_name").alias("name"), group.alias("group")).alias("region"),
@@ -86,7 +103,7 @@ def invoice_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     record = F.struct(
         F.col("o_orderkey").cast("string").alias("id"),
-        F.col("o_orderkey").cast("int").alias("number"),
+        (F.col("o_orderkey") % SERIES).cast("int").alias("number"),
         date.alias("date"),
         F.col("o_totalprice").alias("total"),
         F.col("o_orderstatus").alias("status"),
@@ -94,13 +111,14 @@ def invoice_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         taxes.alias("tax_breakdown"),
         F.array("o_orderpriority", "c_mktsegment").alias("tags"),
         audit.alias("audit"),
+        F.coalesce("lines", F.array()).alias("invoice_lines"),
     )
     return joined.select(F.col("o_orderkey").alias("key"), record.alias("record"))
 
 
 def contact_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = F.struct(
-        F.col("c_custkey").cast("int").alias("id"),
+        F.col("c_custkey").cast("string").alias("id"),
         F.col("c_name").alias("name"),
         F.col("c_acctbal").alias("balance"),
         F.col("c_mktsegment").alias("segment"),
@@ -110,9 +128,9 @@ def contact_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = F.struct(
-        F.col("event_id").cast("int").alias("id"),
+        F.col("event_id").cast("string").alias("id"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"),
-        F.col("user_id").cast("int").alias("user"),
+        F.col("user_id").cast("string").alias("user"),
         F.col("event_type").alias("kind"),
         F.col("value"),
         F.from_json("props", "k int").alias("props"),
@@ -134,7 +152,7 @@ def page_bodies(items: DataFrame, dataset: str, total: int, *more: Column) -> Da
     Keys are unique and dense from 0, so ``key div 200`` numbers the pages and
     a page never gathers more than 200 items.
     """
-    page = F.expr(f"cast(key div {PAGE_SIZE} as int)") + 1
+    page = F.expr(f"key div {PAGE_SIZE}") + 1
     held = F.transform(F.sort_array(F.collect_list(F.struct("key", "item"))), lambda e: e["item"])
     grouped = items.groupBy(page.alias("page")).agg(held.alias("items"), *more)
     body = F.concat(
@@ -182,7 +200,7 @@ def csv_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").alias("price"),
     )
     lines = table(spark, sf_dir, "part").select(
-        F.expr(f"cast(p_partkey div {PAGE_SIZE} as int)").alias("body_id"),
+        F.expr(f"p_partkey div {PAGE_SIZE}").alias("body_id"),
         F.struct("p_partkey", F.to_csv(row).alias("line")).alias("entry"),
     )
     held = F.transform(F.sort_array(F.collect_list("entry")), lambda e: e["line"])
@@ -325,7 +343,7 @@ def description() -> str:
                     "type": "object",
                     "required": ["id"],
                     "properties": {
-                        "id": whole,
+                        "id": text,
                         "name": text,
                         "balance": real,
                         "region": _ref("Region"),

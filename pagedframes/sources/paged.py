@@ -33,8 +33,8 @@ from pyspark.sql.datasource import (
 import pagedframes
 from pagedframes.sources.transport import Paging, Transport
 
-SCHEMA = "page INT, first INT, size INT, body STRING"
-_ARROW = pa.schema([("page", pa.int32()), ("first", pa.int32()), ("size", pa.int32()), ("body", pa.string())])
+SCHEMA = "page BIGINT, first INT, size INT, body STRING"
+_ARROW = pa.schema([("page", pa.int64()), ("first", pa.int32()), ("size", pa.int32()), ("body", pa.string())])
 _BATCH_PAGES = 16
 _MIN_WIDTH, _MAX_TASKS = 50, 20_000  # pages per task at least, tasks per read at most
 
@@ -121,6 +121,23 @@ class _Endpoint:
             raise ValueError(f"{self.name} does not answer with pages")
         return body.get("$total")
 
+    def _is_full(self, page: int) -> bool:
+        try:
+            (_, text), *_ = self.pages(page, page)
+        except LookupError:  # a page that is not there; the tasks will tell if it should be
+            return False
+        return len(json.loads(text)["$items"]) >= self.size
+
+    def last_full(self) -> int:
+        """The last full page, 0 if none is: pages 1, 2, 4, ... are asked for until one is not full, then halves."""
+        low, high = 0, 1
+        while self._is_full(high):
+            low, high = high, 2 * high
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if self._is_full(middle) else (low, middle)
+        return low
+
 
 def _batches(rows: Iterator[tuple[int, int, int | None, str]]) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
@@ -140,10 +157,8 @@ class PagedReader(DataSourceReader):
 
     def partitions(self) -> Sequence[InputPartition]:
         total = self.endpoint.total()
-        if total is None:
-            # Nobody knows where the pages end: one task walks them.
-            return [PageRange(1, 0, open=True)]
-        final = max(1, -(-total // self.endpoint.size))
+        # without a total, the page after the last full one is the last
+        final = self.endpoint.last_full() + 1 if total is None else max(1, -(-total // self.endpoint.size))
         last = final if self.high is None else min(final, self.high)
         parts = [PageRange(low, high) for low, high in self.endpoint.ranges(self.low, last)]
         if parts and last == final:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import http.client
 import random
 import time
 import urllib.error
@@ -55,8 +56,14 @@ class FunctionTransport(Transport):
         self.get = fetch
 
 
+def _retry_after(headers) -> float:
+    """The seconds that a server asks to wait; 0 if it gives none, or a date."""
+    given = ((headers or {}).get("Retry-After") or "").strip()
+    return float(given) if given.isdigit() else 0.0
+
+
 class HttpTransport(Transport):
-    """HTTP GET with retries. ``headers`` is called per request, so tokens can be renewed."""
+    """HTTP GET with retries, after the wait that the server asks for. ``headers`` is called per request, so tokens can be renewed."""
 
     def __init__(
         self,
@@ -71,6 +78,7 @@ class HttpTransport(Transport):
 
     def get(self, url: str) -> str:
         wait = BACKOFF_MIN_SECONDS
+        asked = 0.0
         for attempt in range(MAX_RETRIES + 1):
             request = urllib.request.Request(self.base_url + url, headers=self.headers())
             try:
@@ -82,10 +90,13 @@ class HttpTransport(Transport):
                 # a refused request stays refused; only throttling and server trouble pass
                 if attempt == MAX_RETRIES or (error.code != 429 and error.code < 500):
                     raise
-            except (urllib.error.URLError, TimeoutError):
+                asked = _retry_after(error.headers)
+            except (urllib.error.URLError, TimeoutError, ConnectionError, http.client.HTTPException):
+                # the last two: a connection lost while the body was read
                 if attempt == MAX_RETRIES:
                     raise
-            time.sleep(wait * (1 + random.random() * BACKOFF_JITTER))
+                asked = 0.0
+            time.sleep(max(asked, wait * (1 + random.random() * BACKOFF_JITTER)))
             wait = min(2 * wait, BACKOFF_MAX_SECONDS)
         raise AssertionError("unreachable")
 

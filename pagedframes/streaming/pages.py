@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pagedframes.sources.envelope import unnest, unnest_typed
 from pagedframes.storage import new_folder
 
-LANDED = "dataset STRING, page INT, body STRING"
+LANDED = "dataset STRING, page BIGINT, body STRING"
 
 
 def stream_landed(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
