@@ -50,36 +50,34 @@ def propagate(
 ) -> DataFrame:
     """``host, score``: personalised PageRank over ``edges`` (``src, dst, n``) from ``seeds`` (``host``), which share 1.
 
-    Rounds end when scores move by less than ``tolerance`` in sum. What a host
-    without links holds is not handed on; giving it back to the seeds would
-    multiply all scores by one number. No seeds, no rows.
+    Rounds end when no score moves by more than ``tolerance`` of itself, or after ``rounds`` of them. Scores shrink
+    as seeds and links grow in number, so nothing here looks at their size. What a host without links holds is not
+    handed on; giving it back to the seeds would multiply all scores by one number. No seeds, no rows.
     """
     n_seeds = seeds.count()
     start = cut(seeds.select("host", F.lit(1.0 / max(n_seeds, 1)).alias("score")), "seeds")
-    given = start.select("host", (F.col("score") * (1 - damping)).alias("score"))
+    scores = start.select("host", (F.col("score") * (1 - damping)).alias("score")).withColumn("moved", F.col("score"))
     out = edges.groupBy("src").agg(F.sum("n").alias("total"))
     steps = cut(edges.join(out, "src").select("src", "dst", (damping * F.col("n") / F.col("total")).alias("share")), "steps")
-    scores = given
     for _ in range(rounds if n_seeds else 0):
-        flow = scores.join(steps, scores["host"] == steps["src"])
-        flow = flow.select(F.col("dst").alias("host"), (F.col("score") * F.col("share")).alias("score"))
-        after = cut(flow.unionByName(given).groupBy("host").agg(F.sum("score").alias("score")), "scores")
-        # scores only grow from round to round, so what they moved is the difference of the sums
-        change = after.agg(F.sum("score")).first()[0] - scores.agg(F.sum("score")).first()[0]
-        scores = after
-        if change < tolerance:
+        flow = scores.filter("moved > 0").join(steps, scores["host"] == steps["src"])
+        flow = flow.select(F.col("dst").alias("host"), (F.col("moved") * F.col("share")).alias("score"))
+        held = scores.withColumn("moved", F.lit(0.0)).unionByName(flow.withColumn("moved", F.col("score")))
+        scores = cut(held.groupBy("host").agg(F.sum("score").alias("score"), F.sum("moved").alias("moved")), "scores")
+        # what a round hands on is what the one before brought
+        if scores.agg(F.max(F.col("moved") / F.col("score"))).first()[0] <= tolerance:
             break
-    return scores
+    return scores.select("host", "score")
 
 
-def judge(pages: DataFrame, rules: Sequence[Rule], least: float = 1e-9, share: float = 0.5) -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[Rule], share: float = 0.5) -> DataFrame:
     """``page_id, host, path, rule, verdict, trust, distrust`` for every row of ``pages`` (``page_id, url, html``).
 
     A rule fits its host and all subdomains if the page's path starts with the
     rule's; the longest pattern wins, and of one pattern given twice, block.
-    Other pages go by their host: blocked if its distrust is at least
-    ``least`` and at least ``share`` of trust and distrust together, else
-    allowed. Seeds of trust are hosts with an allowed page that no rule blocks
+    Other pages go by their host: blocked if it has distrust, and that is at
+    least ``share`` of trust and distrust together, else allowed, however
+    small both are. Seeds of trust are hosts with an allowed page that no rule blocks
     as a whole (path ``/``); those that are so blocked are seeds of distrust.
 
     A null or odd url has an empty host and path and is allowed, like any host
@@ -125,7 +123,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], least: float = 1e-9, share: f
     held = urls.join(judged, "host", "left").withColumns(
         {"best": best, "trust": F.coalesce("trust", zero), "distrust": F.coalesce("distrust", zero)}
     )
-    bad = (F.col("distrust") >= least) & (F.col("distrust") >= share * (F.col("trust") + F.col("distrust")))
+    bad = (F.col("distrust") > 0) & (F.col("distrust") >= share * (F.col("trust") + F.col("distrust")))
     verdict = F.coalesce(F.col("best")["rule_verdict"], F.when(bad, "block").otherwise("allow"))
     return held.select(
         "page_id", "host", "path", F.col("best")["rule"].alias("rule"), verdict.alias("verdict"), "trust", "distrust"

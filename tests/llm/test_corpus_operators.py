@@ -143,6 +143,20 @@ def test_url_rules_and_links(spark):
         assert next(r.trust for r in rows if r.host == host) == pytest.approx(score[host], abs=1e-5)
 
 
+def test_url_verdicts_do_not_go_by_size(spark):
+    """Two hosts on the way to one blocked seed among many, whose other in-links come from a much larger host."""
+    link = '<a href="http://{}/x">'.format
+    for seeds, links in ((1, 1), (21, 1), (300, 700_000)):
+        pages = [(k, f"http://s{k}.net/", "") for k in range(seeds)]
+        pages += [(-1, "http://fan.io/", link("s0.net")), (-2, "http://far.io/", link("fan.io")), (-3, "http://off.io/", "")]
+        table = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+        farm = spark.createDataFrame([(-4, "http://farm.io/", links)], "page_id bigint, url string, n int")
+        html = urls.F.expr("repeat('<a href=//s0.net>', n)").alias("html")
+        rows = urls.judge(table.unionByName(farm.select("page_id", "url", html)), RULES).collect()
+        verdicts = {r.host: r.verdict for r in rows if r.page_id < 0}
+        assert verdicts == {"fan.io": "block", "far.io": "block", "off.io": "allow", "farm.io": "block"}
+
+
 # --- tokens ----------------------------------------------------------------------------
 
 
