@@ -19,17 +19,33 @@ from pyspark.sql import functions as F
 
 #: part of an item's words that may differ
 RATE = 0.2
-#: an item with fewer words must make up a whole document
-MIN_WORDS = 5
+#: an item with fewer words (a character of `DENSE` is half a word) and fewer characters must make up a whole document
+MIN_WORDS, MIN_CHARS = 5, 20
 #: characters of items that are searched for at once
 BLOCK_CHARS = 1 << 22
 
 _HITS = "doc_id bigint, item_id bigint, start bigint, stop bigint, distance bigint, item_words bigint"
 _WORD = re.compile(r"\w+")
+#: letters and marks of scripts without blanks: Thai, Lao, Myanmar, Khmer, kana, Bopomofo, Han
+DENSE = (
+    "\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ebd\u0ec0-\u0ece\u1000-\u103f\u1050-\u108f\u109a-\u109d\u1780-\u17d3"
+    "\u3005-\u3007\u3041-\u309a\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u3105-\u312f\u31a0-\u31bf\u31f0-\u31ff"
+    "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U000323af"
+)
+_DENSE = re.compile(f"[{DENSE}]")
+_DENSE_WORD = re.compile(rf"[{DENSE}]|[^\W{DENSE}]+")
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    """Runs of letters, digits and underscores in lower case, and single characters of scripts without blanks."""
+    text = (text or "").lower()
+    return (_DENSE_WORD if not text.isascii() and _DENSE.search(text) else _WORD).findall(text)
+
+
+def too_short(held: list[str]) -> bool:
+    """Whether an item of the words ``held`` says too little to be searched for inside a document."""
+    weight = sum(0.5 if len(w) == 1 and _DENSE.match(w) else 1 for w in held)
+    return weight < MIN_WORDS and sum(map(len, held)) < MIN_CHARS
 
 
 def pieces(n: int, errors: int) -> list[tuple[int, int]]:
@@ -68,7 +84,7 @@ class Items:
         found: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for item_id, text in items:
             held = words(text)
-            if len(held) < MIN_WORDS:
+            if too_short(held):
                 if held:
                     self.short[tuple(held)].append(item_id)
                 continue
@@ -86,7 +102,7 @@ class Items:
     def hits(self, text: str | None) -> Iterator[tuple[int | None, int, int, int, int]]:
         """``item_id, start, stop, distance, words of the item`` of passages, in words of ``text``."""
         held = words(text)
-        for item_id in self.short.get(tuple(held), ()) if len(held) < MIN_WORDS else ():
+        for item_id in self.short.get(tuple(held), ()) if len(held) < 2 * MIN_WORDS else ():
             yield item_id, 0, len(held), 0, len(held)
         if not self.items:
             return
@@ -158,10 +174,13 @@ def find_leaks(
 ) -> DataFrame:
     """``doc_id, item_id, start, stop, distance, item_words``: passages of documents that are benchmark items.
 
-    Words are runs of letters, digits and underscores in lower case; ``start``
-    and ``stop`` count them. Every passage within ``floor(rate * words)`` edits
+    Words are runs of letters, digits and underscores in lower case, and single
+    characters of scripts without blanks (``DENSE``); ``start`` and ``stop``
+    count them. Every passage within ``floor(rate * words)`` edits
     of an item is covered by a row (overlapping ones share one). An item of
-    less than ``MIN_WORDS`` words matches only documents that consist of it;
+    less than ``MIN_WORDS`` words (two such characters are one) is searched for
+    like others from ``MIN_CHARS`` characters on, which of less than five words
+    allows no edit; a shorter one matches only documents that consist of it;
     one without words, like a null, matches nothing. Documents without text
     have no passage. Repeated rows and rows with null ids are searched alike.
 

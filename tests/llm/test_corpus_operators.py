@@ -271,6 +271,24 @@ def plain_distance(pattern, text):
     return best
 
 
+def test_leaks_without_blanks_and_of_few_words(spark):
+    han = "光合作用是植物利用阳光把二氧化碳和水变成养分并放出氧气的过程"
+    edited = han.replace("养分", "食物")
+    thai = "เมืองหลวงของประเทศไทยคือกรุงเทพมหานคร"
+    items = [(1, han), (2, thai), (3, "photosynthesis converts radiation"), (4, "ab cd"), (5, "北京大学")]
+    docs = [
+        (11, f"问题：{han}。答案见下文，请看第三页"), (12, f"题目{edited}吗"), (13, f"คำถาม{thai}ครับ"), (14, "so photosynthesis converts radiation too"),
+        (15, "x ab cd"), (16, "AB cd!"), (17, "我在北京大学读书"), (18, "北京大学"), (19, "photosynthesis converts all radiation"), (20, "阳光和水"),
+    ]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = decontaminate.find_leaks(frame(spark, docs), bench).collect()
+    found = {(r.doc_id, r.item_id, r.distance) for r in rows}
+    assert found == {(11, 1, 0), (12, 1, 2), (13, 2, 0), (14, 3, 0), (16, 4, 0), (18, 5, 0)} and len(rows) == 6
+    at = {r.doc_id: (r.start, r.stop) for r in rows}
+    assert at[11] == (2, 2 + len(han)) and at[14] == (1, 4)
+    assert {r.doc_id for r in decontaminate.clean(frame(spark, docs), bench).collect()} == {15, 17, 19, 20}
+
+
 def test_leaks_match_brute_force(spark):
     rng = random.Random(4)
     word = lambda: rng.choice("abcdefghij")
