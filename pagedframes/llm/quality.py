@@ -87,6 +87,11 @@ class Trees:
     limit: np.ndarray  # go right if the value is greater
     value: np.ndarray  # trees x leaves
 
+    @property
+    def learnt(self) -> bool:
+        """Whether there was any label to learn from; if not, all scores are 0.5 and say nothing."""
+        return len(self.feature) > 0 or self.base != 0
+
     def score(self, x: np.ndarray) -> np.ndarray:
         total, rows = np.full(len(x), self.base), np.arange(len(x))
         inner = self.feature.shape[1]

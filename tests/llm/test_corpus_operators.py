@@ -490,6 +490,19 @@ def test_empty_tables(spark):
     assert quality.score(docs, trees).count() == 0
 
 
+def test_pipeline_keeps_all_documents_without_labels(spark, tmp_path):
+    import corpus_pipeline
+
+    docs, kinds = frame(spark, ODD), "doc_id bigint, quality int, toxic int"
+    held_out = next(k for k in range(1, 12) if zlib.crc32(str(k).encode()) % 4 == 2)
+    for k, labels in enumerate(([], [(1, None, 0), (None, 1, 0), (10**9, 1, 0), (held_out, 0, 0)])):
+        spark.createDataFrame(labels, kinds).write.parquet(f"{tmp_path}/{k}/labels.parquet")
+        with pytest.warns(UserWarning, match="no usable label"):
+            kept = corpus_pipeline.good_documents(spark, docs, f"{tmp_path}/{k}")
+        assert kept.columns == docs.columns
+        assert sorted(kept.collect(), key=str) == sorted(docs.collect(), key=str)
+
+
 def test_pipeline_matches_brute_force(spark):
     import corpus_pipeline
 
