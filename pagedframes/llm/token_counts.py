@@ -74,19 +74,29 @@ def limits(histogram: DataFrame) -> DataFrame:
 def at_limits(table: DataFrame, wanted: DataFrame) -> DataFrame:
     """``limit, longer_documents, truncated_tokens`` for any ``limit`` of ``wanted``, from :func:`limits`.
 
-    Each limit looks at the greatest length up to it; documents longer than that go up to the limit.
+    Each limit looks at the greatest length up to it; documents longer than that go up to the limit. That length is
+    in the block of the limit, or the last one of the blocks before, so no task holds all lengths or limits.
     """
-    last = Window.orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     known = table.select(
         F.col("length").alias("at"), F.lit(0).alias("kind"), F.struct("length", "longer_documents", "truncated_tokens").alias("row")
     )
+    known = known.withColumn("block", F.expr(f"at div {BLOCK}"))
     total = table.agg(F.sum("documents").alias("d"))
-    asked = wanted.select(F.col("limit").cast("bigint").alias("at"), F.lit(1).alias("kind")).withColumn("row", F.lit(None))
-    seen = known.unionByName(asked).withColumn("seen", F.last("row", ignorenulls=True).over(last)).filter("kind = 1")
+    every = wanted.select(F.col("limit").cast("bigint").alias("limit"))
+    asked = every.distinct().select(F.col("limit").alias("at"), F.lit(1).alias("kind"))
+    none = F.lit(None).cast(known.schema["row"].dataType)
+    rows = known.unionByName(asked.withColumn("row", none).withColumn("block", F.expr(f"at div {BLOCK}")))
+    rows = cut(rows, "asked-limits")
+    earlier = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy(F.col("block").alias("of")).agg(F.max("row").alias("row"))
+    blocks = blocks.select("of", F.last("row", ignorenulls=True).over(earlier).alias("carried"))
+    inside = Window.partitionBy("block").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = rows.withColumn("inside", F.last("row", ignorenulls=True).over(inside)).filter("kind = 1")
+    seen = seen.join(blocks, F.col("block").eqNullSafe(F.col("of"))).withColumn("seen", F.coalesce("inside", "carried"))
     longer = F.coalesce("seen.longer_documents", "d", F.lit(0))
     kept = F.coalesce("seen.truncated_tokens", F.lit(0)) + longer * (F.col("at") - F.coalesce("seen.length", F.lit(0)))
-    result = seen.join(total, F.lit(True), "left")
-    return result.select(F.col("at").alias("limit"), longer.alias("longer_documents"), kept.alias("truncated_tokens"))
+    result = seen.join(total, F.lit(True), "left").select("at", longer.alias("longer_documents"), kept.alias("truncated_tokens"))
+    return every.join(result, F.col("limit").eqNullSafe(F.col("at"))).drop("at")
 
 
 def quantile(table: DataFrame, q: float) -> DataFrame:

@@ -237,6 +237,19 @@ def test_token_limits(spark):
 # --- archives ----------------------------------------------------------------------------
 
 
+def test_limits_asked_for_go_by_blocks(spark):
+    rng = random.Random(6)
+    sizes = [rng.choice([0, 7, rng.randrange(3000), 1024, 90_000]) for _ in range(400)]
+    lengths = spark.createDataFrame(list(Counter(sizes).items()), "length bigint, documents bigint")
+    wanted = [rng.randrange(100_000) for _ in range(200)] + [0, 0, 1023, 1024, 1025, 5000, 5000, 90_000, None]
+    found = token_counts.at_limits(token_counts.limits(lengths), spark.createDataFrame([(w,) for w in wanted], "limit int"))
+    got = Counter(tuple(r) for r in found.collect() if r["limit"] is not None)
+    assert got == Counter((w, sum(s > w for s in sizes), sum(min(s, w) for s in sizes)) for w in wanted if w is not None)
+    assert found.count() == len(wanted)
+    # no window without partitions over what is asked
+    assert not re.search(r"windowspecdefinition\(at#", found._jdf.queryExecution().executedPlan().toString())
+
+
 def test_archives_round_trip(spark):
     big = "<p>" + "ü" * 600
     pages = [(1, "http://a/?q=%41 b\nc", big), (2, None, big), (3, "u", None), (4, "", "x"), (5, "v", "x"), (None, "w", big), (2, "z", big)]
