@@ -5,8 +5,8 @@ hash of every window). A seed that several documents hold is matched with its
 first holder, or by the first holder with the last, so a passage in very many
 documents costs each of them one match per seed. Matches of two documents on
 one diagonal make segments; segments are chained in order with a gap cost
-through a Fenwick tree of best scores; gaps and ends of a chain are aligned
-word by word.
+through a Fenwick tree of best scores; insides, gaps and ends of a chain are
+aligned word by word, and its longest parts that agree well enough are kept.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ MAX_GAP, GAP_COST = 32, 0.1
 CHAIN = 12
 #: words that an end is followed for, and what a word that differs takes from the score of a word that agrees
 REACH, DIFFERS = 24, 2
+#: words of a chain that may differ, as a share of all its words
+EDITS = 0.2
 #: bits of the filter in front of the second reading of texts
 FILTER_BITS = 20
 
@@ -122,15 +124,55 @@ def distance(a: list, b: list) -> int:
     return row[-1]
 
 
-def extension(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    """Words by which a passage goes on, for the best sum of agreeing less differing words, and how many differ."""
+def extension(a: np.ndarray, b: np.ndarray) -> int:
+    """Words by which a passage goes on, for the best sum of agreeing less differing words."""
     n = min(len(a), len(b))
     if not n:
-        return 0, 0
-    same = a[:n] == b[:n]
-    total = np.where(same, 1, -DIFFERS).cumsum()
+        return 0
+    total = np.where(a[:n] == b[:n], 1, -DIFFERS).cumsum()
     k = int(total.argmax())
-    return (k + 1, int((~same[: k + 1]).sum())) if total[k] > 0 else (0, 0)
+    return k + 1 if total[k] > 0 else 0
+
+
+def holes(a: np.ndarray, b: np.ndarray, run: int = SEED) -> list[tuple[int, int, int]]:
+    """``low, high, edits`` of the stretches, between ``run`` or more equal words, where two texts of one length differ."""
+    at = np.flatnonzero(a != b)
+    if not len(at):
+        return []
+    new = np.flatnonzero(np.r_[True, np.diff(at) > run])
+    ends = zip(at[new].tolist(), (at[np.r_[new[1:], len(at)] - 1] + 1).tolist(), strict=True)
+    return [(u, v, 1 if v - u == 1 else distance(a[u:v].tolist(), b[u:v].tolist())) for u, v in ends]
+
+
+def agreeing(span: tuple[int, int, int, int], between: list[list[int]], least: int, share: float = EDITS) -> list[tuple[int, ...]]:
+    """``start, stop, other_start, other_stop, edits`` of parts of a chain with edits for at most ``share`` of the words.
+
+    ``between`` are the places ``x, to_x, y, to_y, edits`` where the chain
+    (from ``start, other_start`` to ``stop, other_stop``) differs; what lies
+    between them is equal. The longest part comes first, then the longest on
+    either side of it, down to ``least`` words, so no part that agrees is
+    left out but for what a longer one takes.
+    """
+    between = sorted(between)
+    x0, y0 = [np.array([s, *(h[k] for h in between)]) for s, k in ((span[0], 1), (span[2], 3))]
+    x1, y1 = [np.array([*(h[k] for h in between), s]) for s, k in ((span[1], 0), (span[3], 2))]
+    edits = np.r_[0, np.cumsum([h[4] for h in between], dtype=np.int64)]
+    out, todo = [], [(0, len(x0))]
+    while todo:
+        low, high = todo.pop()
+        if low >= high or x1[low:high].max() - x0[low:high].min() < least:
+            continue
+        # pieces i to j agree if share * (x1[j] - x0[i]) is at least edits[j] - edits[i]
+        begin, end = share * x0[low:high] - edits[low:high], share * x1[low:high] - edits[low:high]
+        beyond = np.maximum.accumulate(end[::-1])  # the best end from each piece on, last piece first
+        last = high - 1 - np.searchsorted(beyond, begin - 1e-9)
+        last = np.maximum(last, np.arange(low, high))
+        i = int((x1[last] - x0[low:high]).argmax())
+        i, j = low + i, int(last[i])
+        if x1[j] - x0[i] >= least:
+            out.append((int(x0[i]), int(x1[j]), int(y0[i]), int(y1[j]), int(edits[j] - edits[i])))
+            todo += [(low, i), (j + 1, high)]
+    return sorted(out)
 
 
 # --- the jobs ----------------------------------------------------------------------
@@ -151,7 +193,7 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, names=["seed", "doc_id", "pos"])
 
 
-_CHAINS = "doc_id bigint, other_id bigint, start int, other_start int, stop int, other_stop int, gaps array<array<int>>"
+_CHAINS = "doc_id bigint, other_id bigint, start int, other_start int, stop int, other_stop int, gaps array<array<int>>, parts array<array<int>>"
 
 
 def _chains(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -172,9 +214,9 @@ def _chains(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
                     for (u, p, m), (v, q, _) in zip(chain, chain[1:], strict=False)
                 ]
                 # seeds of two diagonals may overlap by some words; such a gap is counted by what it adds
-                rows.append((int(doc[a]), int(other[a]), x0, y0, x1 + n, y1 + n, gaps))
-        kinds = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.list_(pa.list_(pa.int32()))]
-        names = ["doc_id", "other_id", "start", "other_start", "stop", "other_stop", "gaps"]
+                rows.append((int(doc[a]), int(other[a]), x0, y0, x1 + n, y1 + n, gaps, [list(p) for p in chain]))
+        kinds = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.list_(pa.list_(pa.int32()))] * 2
+        names = ["doc_id", "other_id", "start", "other_start", "stop", "other_stop", "gaps", "parts"]
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
 
     for batch in batches:
@@ -198,15 +240,37 @@ def _words(batches: Iterator[pa.RecordBatch], filled: np.ndarray) -> Iterator[pa
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for kind, a, b in zip(batch["kind"].to_pylist(), batch["a"], batch["b"], strict=True):
+        more, differ = [], []
+        places = (batch[c].to_pylist() for c in ("kind", "low", "to", "other_low", "other_to"))
+        for kind, x, to_x, y, to_y, a, b in zip(*places, batch["a"], batch["b"], strict=True):
             a, b = (np.frombuffer(v.as_buffer(), "<u4") for v in (a, b))
+            n = 0
             if kind == "gap":
-                rows.append((0, distance(a.tolist(), b.tolist())))
+                edits = distance(a.tolist(), b.tolist())
+                differ.append([[x, to_x, y, to_y, edits]] if edits else [])
             else:
-                rows.append(extension(a, b) if kind == "right" else extension(a[::-1], b[::-1]))
-        added = [pa.array([r[k] for r in rows], pa.int32()) for k in (0, 1)]
-        yield pa.RecordBatch.from_arrays([batch["chain"], batch["kind"], *added], names=["chain", "kind", "more", "edits"])
+                if kind == "left":
+                    n = extension(a[::-1], b[::-1])
+                    x, y, a, b = x + len(a) - n, y + len(b) - n, a[len(a) - n :], b[len(b) - n :]
+                elif kind == "right":
+                    n = extension(a, b)
+                    a, b = a[:n], b[:n]
+                differ.append([[x + u, x + v, y + u, y + v, e] for u, v, e in holes(a, b)])
+            more.append(n)
+        added = [pa.array(more, pa.int32()), pa.array(differ, pa.list_(pa.list_(pa.int32())))]
+        yield pa.RecordBatch.from_arrays([batch["chain"], batch["kind"], *added], names=["chain", "kind", "more", "differ"])
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", "start", "stop", "other_id", "other_start", "other_stop", "edits"]
+    kinds = [pa.int64(), *[pa.int32()] * 2, pa.int64(), *[pa.int32()] * 2, pa.int64()]
+    for batch in batches:
+        rows = []
+        for r in batch.to_pylist():
+            span = (r["start"] - r["left"], r["stop"] + r["right"], r["other_start"] - r["left"], r["other_stop"] + r["right"])
+            for x0, x1, y0, y1, edits in agreeing(span, r["differ"], least):
+                rows.append((r["doc_id"], x0, x1, r["other_id"], y0, y1, edits))
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
 
 
 def _ends(texts: DataFrame) -> DataFrame:
@@ -234,9 +298,9 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, chain: int = CHAI
     """``doc_id, start, stop, other_id, other_start, other_stop, edits, passage_start, passage_stop``.
 
     One row for each aligned chain that is part of a repeated passage: words
-    ``start`` to ``stop`` of ``doc_id`` are those of ``other_id``, but for a
-    few; ``edits`` are those at its ends and in gaps between diagonals, while
-    words replaced between two seeds of one diagonal are not counted. Chains that touch make one passage, which counts from
+    ``start`` to ``stop`` of ``doc_id`` are those of ``other_id``, but for
+    ``edits``, at most ``EDITS`` of them. A chain that differs more is kept in
+    its longest parts that do not. Chains that touch make one passage, which counts from
     ``passage`` words on, so a passage whose parts were first seen in
     different documents is found too. Words are what stands between ASCII
     white space, A-Z in lower case.
@@ -260,15 +324,18 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, chain: int = CHAI
     found = cut(found, "chains")
 
     def area(kind: str, x: Column, n: Column, y: Column, m: Column) -> Column:
-        names = ("kind", "low", "n", "other_low", "other_n")
-        values = (F.lit(kind), x.cast("int"), n.cast("int"), y.cast("int"), m.cast("int"))
+        # seeds of two diagonals may overlap: no words between, but the next one starts before the last one ends
+        names = ("kind", "low", "n", "other_low", "other_n", "to", "other_to")
+        numbers = (x, F.greatest(n, F.lit(0)), y, F.greatest(m, F.lit(0)), x + n, y + m)
+        values = (F.lit(kind), *[v.cast("int") for v in numbers])
         return F.struct(*[v.alias(name) for name, v in zip(names, values, strict=True)])
 
     before = F.least("start", "other_start", F.lit(REACH))
     left = area("left", F.col("start") - before, before, F.col("other_start") - before, before)
     right = area("right", F.col("stop"), F.lit(REACH), F.col("other_stop"), F.lit(REACH))
-    middle = F.transform("gaps", lambda g: area("gap", g[0], F.greatest(g[1], F.lit(0)), g[2], F.greatest(g[3], F.lit(0))))
-    areas = found.select("chain", "doc_id", "other_id", F.explode(F.concat(F.array(left, right), middle)).alias("area"))
+    middle = F.transform("gaps", lambda g: area("gap", g[0], g[1], g[2], g[3]))
+    inside = F.transform("parts", lambda p: area("inside", p[0], p[2], p[1], p[2]))
+    areas = found.select("chain", "doc_id", "other_id", F.explode(F.concat(F.array(left, right), middle, inside)).alias("area"))
     areas = areas.select("chain", "doc_id", "other_id", "area.*")
     wanted = areas.select("doc_id", "low", "n").unionByName(
         areas.select(F.col("other_id").alias("doc_id"), F.col("other_low").alias("low"), F.col("other_n").alias("n"))
@@ -279,20 +346,16 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, chain: int = CHAI
         F.col("doc_id").alias("other_id"), F.col("low").alias("other_low"), F.col("n").alias("other_n"), F.col("words").alias("b")
     )
     met = areas.join(one, ["doc_id", "low", "n"]).join(other, ["other_id", "other_low", "other_n"])
-    aligned = met.select("chain", "kind", "a", "b").mapInArrow(_aligned, "chain bigint, kind string, more int, edits int")
+    met = met.select("chain", "kind", "low", "to", "other_low", "other_to", "a", "b")
+    aligned = met.mapInArrow(_aligned, "chain bigint, kind string, more int, differ array<array<int>>")
     ends = aligned.groupBy("chain").agg(
         F.max(F.when(F.col("kind") == "left", F.col("more"))).alias("left"),
         F.max(F.when(F.col("kind") == "right", F.col("more"))).alias("right"),
-        F.sum("edits").alias("edits"),
+        F.flatten(F.collect_list("differ")).alias("differ"),
     )
-    full = found.join(ends, "chain").select(
-        "doc_id",
-        (F.col("start") - F.col("left")).alias("start"),
-        (F.col("stop") + F.col("right")).alias("stop"),
-        "other_id",
-        (F.col("other_start") - F.col("left")).alias("other_start"),
-        (F.col("other_stop") + F.col("right")).alias("other_stop"),
-        "edits",
+    full = found.drop("gaps", "parts").join(ends, "chain").mapInArrow(
+        partial(_agreeing, least=chain),
+        "doc_id bigint, start int, stop int, other_id bigint, other_start int, other_stop int, edits bigint",
     )
     # chains of one document, of which there are no more than it has seeds
     order = Window.partitionBy("doc_id").orderBy("start", "stop", "other_id", "other_start")

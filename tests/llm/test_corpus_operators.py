@@ -436,6 +436,41 @@ def test_passages_are_found(spark):
     assert all(len(spans[k] & set(range(30, 120))) >= 70 for k in (2, 6))
 
 
+def test_passages_agree_and_count_their_edits(spark):
+    rng, fresh = random.Random(9), iter(range(10**6))
+    words = lambda n: [f"v{next(fresh)}" for _ in range(n)]
+    # 1, 2: runs of 16 equal words with 10 others between them; in 3, 4 they stand beside 100 equal words with 4 replaced
+    poor = [words(16) for _ in range(9)]
+    equal = words(100)
+    docs = {k: words(40) + [w for run in poor for w in (*run, *words(10))] + words(40) for k in (1, 2)}
+    poor = [words(16) for _ in range(9)]
+    changed = list(equal)
+    for at in (26, 50, 51, 75):
+        changed[at] = words(1)[0]
+    for k, part in ((3, equal), (4, changed)):
+        docs[k] = words(30) + part + [w for run in poor for w in (*words(10), *run)] + words(40)
+    docs[5] = words(50)
+    found = substring.repeated_passages(frame(spark, [(k, " ".join(w)) for k, w in docs.items()])).collect()
+    assert {(r.doc_id, r.other_id) for r in found} == {(3, 4), (4, 3)}
+    for r in found:
+        a, b = docs[r.doc_id][r.start : r.stop], docs[r.other_id][r.other_start : r.other_stop]
+        assert r.edits == substring.distance(a, b) <= substring.EDITS * len(a)
+        assert r.start <= 30 and r.stop >= 130
+    # parts against every choice
+    for _ in range(300):
+        between, x, y = [], 0, 0
+        for _ in range(rng.randrange(6)):
+            x, y, n = x + rng.randrange(1, 20), y + rng.randrange(1, 20), rng.randrange(1, 15)
+            between.append([x, x + n, y, y + n, rng.randrange(1, n + 1)])
+            x, y = x + n, y + n
+        starts, stops = [0, *(h[1] for h in between)], [*(h[0] for h in between), x + 9]
+        ranges = [(i, j) for i in range(len(starts)) for j in range(i, len(starts))]
+        agree = [stops[j] - starts[i] for i, j in ranges if sum(h[4] for h in between[i:j]) <= 0.2 * (stops[j] - starts[i]) + 1e-9]
+        parts = substring.agreeing((0, x + 9, 0, y + 9), between, 6)
+        assert max(b - a for a, b, *_ in parts) == max(agree)
+        assert all(e <= 0.2 * (b - a) + 1e-9 for a, b, _, _, e in parts)
+
+
 def test_chains_are_the_best():
     parts = [(0, 0, 20), (30, 31, 20), (33, 400, 8), (60, 60, 30)]
     assert substring.chains(parts)[0] == [(0, 0, 20), (30, 31, 20), (60, 60, 30)]
