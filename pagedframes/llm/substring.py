@@ -305,8 +305,9 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE, chain: int = CHAI
     different documents is found too. Words are what stands between ASCII
     white space, A-Z in lower case.
 
-    Every document that holds a passage has a row; it names one partner, the
-    first document with those words, or for that one the last. Copies of whole
+    A row names one partner, the first document with those words, or for that
+    one the last. A passage has no row if its seeds all go to partners that
+    hold less than ``chain`` words of it each. Copies of whole
     documents are passages. Null ids and texts, empty texts and texts of fewer
     words than a passage give no row. Rows that share a ``doc_id`` are one
     document. Other columns are not read.
