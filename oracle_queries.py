@@ -80,6 +80,11 @@ paths AS (
     ('Contact', 'parent', 'struct', true, true, false, 'refers back to Contact'),
     ('Tax', 'label', 'string', true, true, false, NULL),
     ('Tax', 'amount', 'double', true, true, false, NULL),
+    ('Line', 'part', 'string', true, true, false, NULL),
+    ('Line', 'line', 'int', true, true, false, NULL),
+    ('Line', 'quantity', 'double', true, true, false, NULL),
+    ('Line', 'price', 'double', true, true, false, NULL),
+    ('Line', 'discount', 'double', true, true, false, NULL),
     ('@SEG@Invoice', 'id', 'string', false, false, false, NULL),
     ('@SEG@Invoice', 'number', 'int', true, true, false, NULL),
     ('@SEG@Invoice', 'date', 'string', true, true, false, NULL),
@@ -103,20 +108,31 @@ paths AS (
     ('@SEG@Invoice', 'audit.paid', 'boolean', true, true, false, NULL),
     ('@SEG@Invoice', 'audit.steps', 'array<struct>', true, true, false, NULL),
     ('@SEG@Invoice', 'audit.steps.at', 'string', true, true, true, NULL),
-    ('@SEG@Invoice', 'audit.steps.n', 'int', true, true, true, NULL)
+    ('@SEG@Invoice', 'audit.steps.n', 'int', true, true, true, NULL),
+    ('@SEG@Invoice', 'invoice_lines', 'array<struct>', true, true, false, NULL),
+    ('@SEG@Invoice', 'invoice_lines.part', 'string', true, true, true, NULL),
+    ('@SEG@Invoice', 'invoice_lines.line', 'int', true, true, true, NULL),
+    ('@SEG@Invoice', 'invoice_lines.quantity', 'double', true, true, true, NULL),
+    ('@SEG@Invoice', 'invoice_lines.price', 'double', true, true, true, NULL),
+    ('@SEG@Invoice', 'invoice_lines.discount', 'double', true, true, true, NULL)
   ) AS t(s, path, type, nullable, path_nullable, in_array, problem))
 """
 
 _FIELD_PROBLEMS = f"""
+held AS (
+  SELECT l_orderkey, bool_or(l_linenumber = 3) AS third, bool_or(l_discount > 0.09) AS rebate FROM lineitem GROUP BY l_orderkey),
 found AS (
-  SELECT o_orderkey AS key, UNNEST([
+  SELECT o_orderkey AS key, UNNEST(CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'
+    THEN [{{'field': '$', 'problem': 'unreadable'}}] ELSE [
     CASE WHEN o_orderpriority = '1-URGENT' THEN {{'field': 'id', 'problem': 'missing'}} END,
     CASE WHEN c_acctbal < 0 THEN {{'field': 'number', 'problem': 'unreadable'}} END,
     CASE WHEN o_orderstatus = 'P' THEN {{'field': 'total', 'problem': 'unreadable'}} END,
     CASE WHEN o_orderstatus = 'P' THEN {{'field': 'tax_breakdown[].amount', 'problem': 'unreadable'}} END,
-    CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN {{'field': 'extra', 'problem': 'undeclared'}} END
-  ]) AS p
-  {_INVOICE_JOIN})
+    CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN {{'field': 'extra', 'problem': 'undeclared'}} END,
+    CASE WHEN third THEN {{'field': 'invoice_lines[].quantity', 'problem': 'unreadable'}} END,
+    CASE WHEN rebate THEN {{'field': 'invoice_lines[].rebate', 'problem': 'undeclared'}} END
+  ] END) AS p
+  {_INVOICE_JOIN} LEFT JOIN held ON l_orderkey = o_orderkey)
 """
 
 # invoice pages as they were received: how often each came
@@ -126,7 +142,7 @@ sent AS (
          arg_min(o_orderstatus, o_orderkey) AS status, arg_min(o_orderpriority, o_orderkey) AS priority
   FROM orders GROUP BY ALL),
 received AS (
-  SELECT dataset, page, items,
+  SELECT dataset, page, CASE WHEN status = 'O' AND priority = '2-HIGH' THEN 0 ELSE items END AS items,
          CASE WHEN status = 'P' AND priority = '1-URGENT' THEN 0
               WHEN status = 'F' AND priority = '5-LOW' THEN 2 ELSE 1 END AS copies
   FROM sent)
@@ -283,6 +299,11 @@ ORACLE: dict[str, str] = {
           ('Contact', 4, 'parent', 'struct', true, 'Contact', 'refers back to Contact'),
           ('Tax', 0, 'label', 'string', true, NULL, NULL),
           ('Tax', 1, 'amount', 'double', true, NULL, NULL),
+          ('Line', 0, 'part', 'string', true, NULL, NULL),
+          ('Line', 1, 'line', 'int', true, NULL, NULL),
+          ('Line', 2, 'quantity', 'double', true, NULL, NULL),
+          ('Line', 3, 'price', 'double', true, NULL, NULL),
+          ('Line', 4, 'discount', 'double', true, NULL, NULL),
           ('@SEG@Invoice', 0, 'id', 'string', false, NULL, NULL),
           ('@SEG@Invoice', 1, 'number', 'int', true, NULL, NULL),
           ('@SEG@Invoice', 2, 'date', 'string', true, NULL, NULL),
@@ -291,7 +312,8 @@ ORACLE: dict[str, str] = {
           ('@SEG@Invoice', 5, 'contact', 'struct', true, 'Contact', NULL),
           ('@SEG@Invoice', 6, 'tax_breakdown', 'array<struct>', true, 'Tax', NULL),
           ('@SEG@Invoice', 7, 'tags', 'array<string>', true, NULL, NULL),
-          ('@SEG@Invoice', 8, 'audit', 'struct', true, NULL, NULL)
+          ('@SEG@Invoice', 8, 'audit', 'struct', true, NULL, NULL),
+          ('@SEG@Invoice', 9, 'invoice_lines', 'array<struct>', true, 'Line', NULL)
         ) AS t(s, pos, field, type, nullable, ref, problem)""",
     "spec_field_paths": f"WITH {_PATHS} SELECT spec_id, schema_name, path, type, nullable, problem FROM paths",
     "spec_base_url": """

@@ -50,14 +50,8 @@ EVENT = _struct(("id",), id=_TEXT, at=_TEXT, user=_TEXT, kind=_TEXT, value=_REAL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, spread over the cores when its files make fewer partitions than that.
-
-    Writing and parsing JSON is all CPU, and a small table is a single split.
-    A table of any size has splits enough and is left as it is.
-    """
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    """A given table. Sessions that encode small files in parallel set smaller splits, as the bench does."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # --- records ---------------------------------------------------------------
@@ -233,7 +227,10 @@ def faulty_invoice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     Urgent orders lose their id, orders in process have a total and a tax
     amount that are no numbers, orders not specified carry a field ``extra``,
     orders of customers in debt have a number too large for 32 bits, and
-    orders of low priority have no contact.
+    orders of low priority have no contact. Of the lines, those of line number
+    3 have a quantity that is no number, and those with a discount over 0.09
+    carry a field ``rebate``. Text follows the records of the orders that are
+    finished and of high priority.
     """
     record = F.col("record")
     priority = record["tags"][0]
@@ -247,6 +244,17 @@ def faulty_invoice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     taxes = F.array(
         F.struct(F.lit("net").alias("label"), either(in_process, F.lit("n/a"), record["total"]).alias("amount"))
     )
+
+    def line(x: Column) -> Column:
+        return F.struct(
+            x["part"].alias("part"),
+            x["line"].alias("line"),
+            either(x["line"] == 3, F.lit("some"), x["quantity"]).alias("quantity"),
+            x["price"].alias("price"),
+            x["discount"].alias("discount"),
+            F.when(x["discount"] > 0.09, F.lit(True)).alias("rebate"),
+        )
+
     broken = F.struct(
         F.when(priority != "1-URGENT", record["id"]).alias("id"),
         F.when(in_debt, F.lit(5_000_000_000)).otherwise(record["number"]).alias("number"),
@@ -257,16 +265,20 @@ def faulty_invoice_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         taxes.alias("tax_breakdown"),
         record["tags"].alias("tags"),
         record["audit"].alias("audit"),
+        F.transform(record["invoice_lines"], line).alias("invoice_lines"),
         F.when(priority == "4-NOT SPECIFIED", F.lit(1)).alias("extra"),
     )
-    return invoice_records(spark, sf_dir).select("key", F.to_json(broken).alias("item"))
+    after = F.when((record["status"] == "F") & (priority == "2-HIGH"), F.lit(" {}")).otherwise("")
+    return invoice_records(spark, sf_dir).select("key", F.concat(F.to_json(broken), after).alias("item"))
 
 
 def faulty_invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoice pages of which some are lost and some come twice.
 
     A page is lost when the order it starts with is in process and urgent, and
-    comes twice when that order is finished and of low priority.
+    comes twice when that order is finished and of low priority. Text follows
+    the body of a page, so that it cannot be read, when that order is open and
+    of high priority.
     """
     record = F.col("record")
     items = invoice_records(spark, sf_dir).select(
@@ -279,7 +291,9 @@ def faulty_invoice_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((F.col("status") == "F") & (F.col("priority") == "5-LOW"), 2)
         .otherwise(1)
     )
-    return pages.select("dataset", "page", "body", F.explode(F.array_repeat(F.lit(1), copies))).drop("col")
+    after = F.when((F.col("status") == "O") & (F.col("priority") == "2-HIGH"), F.lit(" x")).otherwise("")
+    body = F.concat("body", after).alias("body")
+    return pages.select("dataset", "page", body, F.explode(F.array_repeat(F.lit(1), copies))).drop("col")
 
 
 def broken_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,6 +365,10 @@ def description() -> str:
                     },
                 },
                 "Tax": {"type": "object", "properties": {"label": text, "amount": real}},
+                "Line": {
+                    "type": "object",
+                    "properties": {"part": text, "line": whole, "quantity": real, "price": real, "discount": real},
+                },
                 "@SEG@Invoice": {
                     "type": "object",
                     "required": ["id"],
@@ -364,6 +382,7 @@ def description() -> str:
                         "tax_breakdown": {"type": "array", "items": _ref("Tax")},
                         "tags": {"type": "array", "items": text},
                         "audit": {"type": "object", "properties": {"by": text, "paid": flag, "steps": steps}},
+                        "invoice_lines": {"type": "array", "items": _ref("Line")},
                     },
                 },
             },

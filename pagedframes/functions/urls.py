@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagedframes.constants import PAGE_SIZE
+from pagedframes.constants import PAGE_SIZE, PAGING_PARAMS
 
 
 def _decoded(text: Column) -> Column:
@@ -61,11 +61,17 @@ def query_string(params: Column) -> Column:
     )
 
 
-def page_query(query: Column, page: Column) -> Column:
+def page_query(
+    query: Column,
+    page: Column,
+    size: int = PAGE_SIZE,
+    page_param: str = PAGING_PARAMS[1],
+    size_param: str = PAGING_PARAMS[0],
+) -> Column:
     """A query string extended by the paging parameters."""
     return F.concat_ws(
         "&",
         F.when(query != "", query),
-        F.lit(f"items_per_page={PAGE_SIZE}"),
-        F.concat(F.lit("page="), page.cast("string")),
+        F.lit(f"{size_param}={size}"),
+        F.concat(F.lit(f"{page_param}="), page.cast("string")),
     )

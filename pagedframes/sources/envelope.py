@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagedframes.functions.bodies import body_shape, whole_json
+from pagedframes.functions.bodies import body_shape, whole_record
 
 TOTAL = "$total"
 ITEMS = "$items"
@@ -32,8 +32,8 @@ def _open(pages: DataFrame, record: T.DataType, body: str, strict: bool) -> tupl
     """The pages with their body parsed, the columns to keep, and the items to explode."""
     sliced = all(c in pages.columns for c in SLICE)
     keep = [F.col(f"`{c}`") for c in pages.columns if c != body and not (sliced and c in SLICE)]
-    parsed = pages.withColumn("__envelope", F.when(whole_json(F.col(f"`{body}`")), F.from_json(body, _envelope(record))))
-    # from_json stops at the end of the first value; text after it makes the body unreadable
+    # text after the end of the envelope makes the body unreadable
+    parsed = pages.withColumn("__envelope", whole_record(F.col(f"`{body}`"), _envelope(record)))
     items = F.col("__envelope").getField(ITEMS)
     held = F.coalesce(items, F.array())
     if strict:
