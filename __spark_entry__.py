@@ -26,7 +26,8 @@ from pagedframes import fixtures as fx  # noqa: E402
 from pagedframes import operators as ops  # noqa: E402
 from pagedframes import plans, sources, streaming  # noqa: E402
 from pagedframes.reader import PagedAPI  # noqa: E402
-from pagedframes.sources.transport import LandedTransport  # noqa: E402
+from pagedframes.replay import LandedBodies, LandedTransport, land_bodies  # noqa: E402
+from pagedframes.storage import new_folder  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,15 +56,66 @@ def _flat_invoice(rows: DataFrame) -> DataFrame:
 
 def read_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fx.land(fx.invoice_pages(spark, sf_dir), "invoice-pages")
-    sources.register_transport(spark, LandedTransport(folder), "invoice_api")
+    sources.register_transport(spark, LandedTransport(folder, {"/invoices": "invoice"}), "invoice_api")
     pages = spark.read.format("invoice_api").option("endpoint", "/invoices").load()
     return _flat_invoice(sources.unnest_typed(pages, fx.INVOICE))
 
 
+def _description() -> str:
+    return fx.description().replace("@SEG@", "Sales").replace("@ID@", "0").replace("@NATION@", "0")
+
+
+def read_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By name: all invoices with all their lines, in the schema that the description declares."""
+    folder = fx.land(fx.invoice_pages(spark, sf_dir), "invoice-pages")
+    transport = LandedTransport(folder, {"/invoices?from_date=1990-01-01": "invoice"})
+    return _flat_invoice(PagedAPI(spark, _description(), transport, "invoices").read("SalesInvoice", {"from_date": "1990-01-01"}))
+
+
+def read_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A body that is no page: all nations, in one array."""
+    nations = fx.table(spark, sf_dir, "nation").join(fx.table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
+    region = F.struct(F.col("n_name").alias("name"), F.struct(F.col("r_name").alias("name")).alias("group"))
+    bodies = nations.agg(F.to_json(F.sort_array(F.collect_list(region))).alias("body"))
+    folder = new_folder(spark, "bodies")
+    land_bodies(bodies.select(F.lit("/regions").alias("url"), "body"), folder)
+    return ops.flatten(PagedAPI(spark, _description(), LandedBodies(folder), "single").read("Region"))
+
+
+def read_fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of all kinds, each kind a dataset with pages of its own, in one read."""
+    events = fx.event_records(spark, sf_dir)
+    folder = fx.land(fx.numbered_pages(events, F.col("record.kind")), "fleet-pages")
+    datasets = fx.table(spark, sf_dir, "events").select(F.col("event_type").alias("dataset")).distinct()
+    fleet = datasets.withColumn("endpoint", F.concat(F.lit("/events/"), F.col("dataset")))
+    names = {row["endpoint"]: row["dataset"] for row in fleet.collect()}
+    pages = sources.read_fleet(fleet, LandedTransport(folder, names))
+    return ops.flatten(sources.unnest_typed(pages, fx.EVENT))
+
+
+def read_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contacts that orders name, one request for each different key."""
+    records = fx.items_of(fx.contact_records(spark, sf_dir))
+    folder = new_folder(spark, "bodies")
+    land_bodies(records.select(F.concat(F.lit("/contacts/"), F.col("key")).alias("url"), F.col("item").alias("body")), folder)
+    keys = fx.table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("key"))
+    strange = fx.table(spark, sf_dir, "nation").select(F.col("n_name").alias("key"))
+    found = sources.fetch_keys(keys.unionByName(strange), "/contacts/{key}", LandedBodies(folder))
+    rows = found.select("key", F.from_json("body", fx.CONTACT).alias("contact"))
+    return rows.select("key", F.col("contact.name").alias("name"), F.col("contact.balance").alias("balance"))
+
+
+def read_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset without records: the first page of contacts of no nation, in declared columns."""
+    none = fx.numbered_pages(fx.contact_records(spark, sf_dir), F.lit("contact")).filter("page = 1")
+    none = none.withColumn("body", F.lit('{"$total":0,"$items":[]}'))
+    api = PagedAPI(spark, _description(), LandedTransport(fx.land(none, "empty-pages"), {"/contacts": "contact"}), "empty")
+    return api.read("Contact").unionByName(api.empty("Contact")).select("id", "name", "balance")
+
+
 def read_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fx.land(fx.contact_pages(spark, sf_dir), "contact-pages")
-    description = fx.description().replace("@SEG@", "Sales").replace("@ID@", "0").replace("@NATION@", "0")
-    api = PagedAPI(spark, description, LandedTransport(folder), "contact_api")
+    api = PagedAPI(spark, _description(), LandedTransport(folder, {"/contacts": "contact"}), "contact_api")
     return api.read("Contact", {"page": 7}, columns=["id", "name", "balance"])
 
 
@@ -189,9 +241,21 @@ def body_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    declared = {"status": "string", "date": "string"}
-    rows = plans.filter_rows(_invoices(spark, sf_dir), {"status": "O", "page": 3}, declared)
-    return rows.select("id", "status", "date", "total")
+    """A filter on the typed source: the server, which keeps a list for each status, sends open invoices only."""
+    since, status = {"from_date": "1990-01-01"}, F.col("record.status")
+    records = fx.invoice_records(spark, sf_dir)
+    folder = fx.land(fx.numbered_pages(records, F.concat(F.lit("/invoices?from_date=1990-01-01&status="), status)), "by-status")
+    fx.land_more(fx.numbered_pages(records, F.lit("/invoices?from_date=1990-01-01")), folder)
+    before = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        api = PagedAPI(spark, _description(), LandedTransport(folder), "filtered")
+        rows = api.records("SalesInvoice", since, equal=["status"]).filter("status = 'O'").select("id", "status", "date", "total")
+        # planned here, while filters are pushed down
+        rows._jdf.queryExecution().executedPlan()
+        return rows
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", before)
 
 
 def missing_params(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,14 +348,20 @@ def stream_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fx.land(fx.event_pages(spark, sf_dir), "event-pages")
-    sources.register_transport(spark, LandedTransport(folder), "event_api")
-    rows = streaming.drain(streaming.stream_items(streaming.stream_api(spark, "/events", "event_api"), fx.EVENT))
+    sources.register_transport(spark, LandedTransport(folder, {"/events": "event"}), "event_api")
+    pages = streaming.stream_api(spark, "/events", "event_api", pages_per_batch=2_000)
+    rows = streaming.drain(streaming.stream_items(pages, fx.EVENT))
     return ops.flatten(rows)
 
 
 _QUERIES: list[Query] = [
     read_paged,
     read_dataset,
+    read_invoices,
+    read_single,
+    read_fleet,
+    read_keyed,
+    read_empty,
     unnest_envelope,
     read_object,
     read_array,

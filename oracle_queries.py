@@ -163,6 +163,14 @@ pair AS (
 ORACLE: dict[str, str] = {
     "read_paged": _FLAT_INVOICE,
     "flatten": _FLAT_INVOICE,
+    "read_invoices": _FLAT_INVOICE,
+    "read_single": "SELECT n_name AS name, r_name AS group_name FROM nation JOIN region ON n_regionkey = r_regionkey",
+    "read_fleet": _EVENT,
+    "read_keyed": """
+        SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS key, c_name AS name, c_acctbal AS balance
+        FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+        UNION ALL SELECT n_name, NULL, NULL FROM nation""",
+    "read_empty": "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_acctbal AS balance FROM customer WHERE false",
     "read_dataset": "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_acctbal AS balance FROM customer",
     "unnest_envelope": """
         SELECT 'contact' AS dataset, c_custkey // 200 + 1 AS page,

@@ -2,10 +2,12 @@
 
 from pagedframes.operators import flatten, flatten_schema, infer_rows, typed_rows, validate
 from pagedframes.reader import PagedAPI
+from pagedframes.replay import LandedTransport
 from pagedframes.sources import (
     FunctionTransport,
     HttpTransport,
-    LandedTransport,
+    Budget,
+    Paging,
     Transport,
     pages_from_files,
     pages_from_table,
@@ -23,7 +25,9 @@ __all__ = [
     "PagedAPI",
     "FunctionTransport",
     "HttpTransport",
+    "Budget",
     "LandedTransport",
+    "Paging",
     "Transport",
     "pages_from_files",
     "pages_from_table",

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -174,6 +174,20 @@ def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_bodies(items_of(event_records(spark, sf_dir)), "event", total)
 
 
+def numbered_pages(rows: DataFrame, dataset: Column) -> DataFrame:
+    """``dataset, page, body`` with 200 items each for every ``dataset`` of ``key, record`` rows, in key order."""
+    named = rows.select(dataset.alias("dataset"), "key", F.to_json("record").alias("item"))
+    at = F.row_number().over(Window.partitionBy("dataset").orderBy("key")) - 1
+    placed = named.withColumn("at", at).withColumn("page", F.expr(f"at div {PAGE_SIZE}") + 1)
+    totals = named.groupBy("dataset").agg(F.count("*").alias("total"))
+    held = F.transform(F.sort_array(F.collect_list(F.struct("at", "item"))), lambda e: e["item"])
+    pages = placed.groupBy("dataset", "page").agg(held.alias("items")).join(totals, "dataset")
+    body = F.concat(
+        F.lit('{"$total":'), F.col("total").cast("string"), F.lit(',"$items":['), F.array_join("items", ","), F.lit("]}")
+    )
+    return pages.select("dataset", "page", body.alias("body"))
+
+
 def land(pages: DataFrame, label: str) -> str:
     """Land pages in the shared folder and return where."""
     folder = new_folder(pages.sparkSession, label)
@@ -181,6 +195,11 @@ def land(pages: DataFrame, label: str) -> str:
     return folder
 
 
+def land_more(pages: DataFrame, folder: str) -> None:
+    """Land more pages beside those that are there."""
+    land_pages(pages, folder, mode="append")
+
+
 # --- bodies that are not pages ---------------------------------------------
 
 

@@ -6,9 +6,11 @@ from pagedframes.sources.envelope import (
     unnest,
     unnest_typed,
 )
+from pagedframes.sources.fetch import fetch_keys, land_fleet, page_runs, read_fleet
 from pagedframes.sources.landed import land_pages, pages_from_files, pages_from_table
 from pagedframes.sources.paged import register_transport
-from pagedframes.sources.transport import FunctionTransport, HttpTransport, LandedTransport, Transport
+from pagedframes.sources.records import register_records
+from pagedframes.sources.transport import Budget, FunctionTransport, HttpTransport, Paging, Transport
 
 __all__ = [
     "csv_lines",
@@ -24,8 +26,14 @@ __all__ = [
     "pages_from_files",
     "pages_from_table",
     "register_transport",
+    "register_records",
+    "fetch_keys",
+    "land_fleet",
+    "page_runs",
+    "read_fleet",
+    "Budget",
     "FunctionTransport",
     "HttpTransport",
-    "LandedTransport",
+    "Paging",
     "Transport",
 ]

@@ -9,6 +9,7 @@ that window and fails the read when a page holds fewer items than it should.
 
 from __future__ import annotations
 
+import copy
 import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -31,12 +32,13 @@ from pyspark.sql.datasource import (
 )
 
 import pagedframes
-from pagedframes.sources.transport import Paging, Transport
+from pagedframes.sources.transport import Budget, Pace, Paging, Transport
 
 SCHEMA = "page BIGINT, first INT, size INT, body STRING"
 _ARROW = pa.schema([("page", pa.int64()), ("first", pa.int32()), ("size", pa.int32()), ("body", pa.string())])
 _BATCH_PAGES = 16
 _MIN_WIDTH, _MAX_TASKS = 50, 20_000  # pages per task at least, tasks per read at most
+_BATCH_LIMIT = 10_000  # pages of one micro-batch of a stream
 
 
 @dataclass
@@ -48,6 +50,7 @@ class PageRange(InputPartition):
     open: bool = False
     start: int | None = None  # item window, streaming only
     end: int | None = None
+    interval: float = 0.0  # seconds between requests, under a budget
 
 
 class PagedSource(DataSource):
@@ -69,6 +72,11 @@ class PagedSource(DataSource):
         return PagedStreamReader(self.transport, self.options)
 
 
+def travel() -> None:
+    """The package goes with the tasks that use it, so the executors' Python need not have it."""
+    cloudpickle.register_pickle_by_value(pagedframes)
+
+
 def register_transport(spark: SparkSession, transport: Transport, name: str = "paged") -> None:
     """Make ``spark.read.format(name)`` fetch through ``transport``. Option ``endpoint`` names the data.
 
@@ -77,7 +85,7 @@ def register_transport(spark: SparkSession, transport: Transport, name: str = "p
     a reader with pushdown otherwise. The package travels with the source, so
     the executors' Python need not have it.
     """
-    cloudpickle.register_pickle_by_value(pagedframes)
+    travel()
     enabled = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false") == "true"
     bound = {"transport": transport, "pushdown": enabled, "name": classmethod(lambda cls: name)}
     source = type("BoundPagedSource", (PagedSource,), bound)
@@ -97,12 +105,32 @@ class _Endpoint:
         )
         self.size = self.paging.size
         self.width = options.get("pagesPerPartition")
+        self.per_batch = int(options.get("maxPagesPerBatch", str(_BATCH_LIMIT)))
+        given = options.get("requestsPerSecond")
+        self.budget = Budget(float(given)) if given else None
 
     def ranges(self, first: int, last: int) -> list[tuple[int, int]]:
         """Pages ``first..last`` cut into the ranges that tasks read."""
         width = int(self.width or max(_MIN_WIDTH, -(-(last - first + 1) // _MAX_TASKS)))
+        if self.budget:
+            tasks = self.budget.tasks(max(1, -(-(last - first + 1) // width)))
+            width = max(1, -(-(last - first + 1) // tasks))
         return [(low, min(low + width - 1, last)) for low in range(first, last + 1, width)]
 
+    def paced(self, parts: list) -> list:
+        """Tell each part how long its task waits between requests."""
+        for part in parts:
+            part.interval = self.budget.interval(len(parts)) if self.budget else 0.0
+        return parts
+
+    def in_task(self, part: PageRange) -> _Endpoint:
+        """This endpoint at the pace of ``part``."""
+        if not part.interval:
+            return self
+        other = copy.copy(self)
+        other.transport = self.transport.paced(Pace(part.interval))
+        return other
+
     def pages(self, first: int, last: int | None) -> Iterator[tuple[int, str]]:
         """Pages ``first..last``, each of them and in order; the end is open without ``last``."""
         expected = first
@@ -163,21 +191,22 @@ class PagedReader(DataSourceReader):
         parts = [PageRange(low, high) for low, high in self.endpoint.ranges(self.low, last)]
         if parts and last == final:
             parts[-1].open = True
-        return parts or [PageRange(1, 0)]
+        return self.endpoint.paced(parts or [PageRange(1, 0)])
 
     def read(self, part: PageRange) -> Iterator[pa.RecordBatch]:
         return _batches(self._rows(part))
 
     def _rows(self, part: PageRange) -> Iterator[tuple[int, int, int | None, str]]:
-        size = self.endpoint.size
+        endpoint = self.endpoint.in_task(part)
+        size = endpoint.size
         full_until = part.last - 1 if part.open else part.last
         if part.first <= full_until:
-            for page, body in self.endpoint.pages(part.first, full_until):
+            for page, body in endpoint.pages(part.first, full_until):
                 yield page, 0, size, body
         if part.open:
             # Items may have been added since page 1 was read, so the end is
             # where a page is not full, whatever the total said.
-            for page, body in self.endpoint.pages(max(part.first, part.last), None):
+            for page, body in endpoint.pages(max(part.first, part.last), None):
                 full = len(json.loads(body)["$items"]) == size
                 yield page, 0, size if full else None, body
                 if not full:
@@ -211,11 +240,19 @@ class PushdownReader(PagedReader):
 
 
 class PagedStreamReader(DataSourceStreamReader):
-    """An append-only dataset as a stream; the offset counts items, so a page that fills up is not read twice."""
+    """An append-only dataset as a stream; the offset counts items, so a page that fills up is not read twice.
+
+    A batch takes up to ``maxPagesPerBatch`` pages, so a backlog is many
+    batches, each of them committed. An offset short of the ``total`` seen when
+    it was made tells that too, which is where ``drain`` ends. Spark asks a query
+    that goes on for the empty range at its last offset first, so the reader
+    knows where it stands.
+    """
 
     def __init__(self, transport: Transport, options: dict[str, str]):
         self.endpoint = _Endpoint(transport, options)
         self.seen = 0
+        self.at = 0
 
     def initialOffset(self) -> dict:
         return {"items": 0}
@@ -227,10 +264,16 @@ class PagedStreamReader(DataSourceStreamReader):
         if total < self.seen:
             raise ValueError(f"{self.endpoint.name} shrank from {self.seen} to {total} items, so it cannot be streamed")
         self.seen = total
-        return {"items": total}
+        end = min(total, self._limit(self.at))
+        return {"items": end} if end == total else {"items": end, "total": total}
+
+    def _limit(self, start: int) -> int:
+        """Where ``per_batch`` pages after item ``start`` end."""
+        return (start // self.endpoint.size + self.endpoint.per_batch) * self.endpoint.size
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
         begin, stop = start["items"], end["items"]
+        self.at = stop
         if begin > stop:
             # items that are gone shift all later ones, so what comes next could not be told from what was read
             raise ValueError(f"{self.endpoint.name} shrank from {begin} to {stop} items, so it cannot be streamed")
@@ -238,14 +281,16 @@ class PagedStreamReader(DataSourceStreamReader):
             return []
         size = self.endpoint.size
         first, last = begin // size + 1, -(-stop // size)
-        return [PageRange(low, high, start=begin, end=stop) for low, high in self.endpoint.ranges(first, last)]
+        parts = [PageRange(low, high, start=begin, end=stop) for low, high in self.endpoint.ranges(first, last)]
+        return self.endpoint.paced(parts)
 
     def read(self, part: PageRange) -> Iterator[pa.RecordBatch]:
         return _batches(self._rows(part))
 
     def _rows(self, part: PageRange) -> Iterator[tuple[int, int, int, str]]:
-        size = self.endpoint.size
-        for page, body in self.endpoint.pages(part.first, part.last):
+        endpoint = self.endpoint.in_task(part)
+        size = endpoint.size
+        for page, body in endpoint.pages(part.first, part.last):
             base = (page - 1) * size
             low = max(part.start - base, 0)
             high = min(part.end - base, size)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import copy
 import http.client
+import math
 import random
 import time
 import urllib.error
@@ -14,7 +16,6 @@ from pagedframes.constants import (
     BACKOFF_JITTER,
     BACKOFF_MAX_SECONDS,
     BACKOFF_MIN_SECONDS,
-    BLOCK_PAGES,
     MAX_RETRIES,
     PAGE_SIZE,
     PAUSE_SECONDS,
@@ -22,6 +23,15 @@ from pagedframes.constants import (
 )
 
 
+class NotFound(LookupError):
+    """There is nothing behind the URL."""
+
+
+def is_absent(error: Exception) -> bool:
+    """Whether ``error`` says that there is nothing behind a URL, rather than that it could not be asked."""
+    return isinstance(error, LookupError) or (isinstance(error, urllib.error.HTTPError) and error.code in (404, 410))
+
+
 @dataclass(frozen=True)
 class Paging:
     """How an endpoint is asked for a page."""
@@ -35,17 +45,69 @@ class Paging:
         return f"{endpoint}{joint}{self.size_param}={self.size}&{self.page_param}={page}"
 
 
+@dataclass(frozen=True)
+class Budget:
+    """At most ``per_second`` requests in any second, by all tasks of a read together.
+
+    Tasks cannot talk to each other, so each gets a whole number of requests a
+    second, and there are no more tasks than whole requests. An attempt waits
+    before its first request, so one that takes the place of a lost task does
+    not add to what that one had sent.
+    """
+
+    per_second: float
+
+    def tasks(self, wanted: int) -> int:
+        return max(1, min(wanted, math.floor(self.per_second)))
+
+    def interval(self, tasks: int) -> float:
+        """Seconds between the requests of one of ``tasks``."""
+        return 1 / (math.floor(self.per_second / tasks) or self.per_second)
+
+
+class Pace:
+    """Called before each request of a task; sleeps until it is due."""
+
+    def __init__(self, seconds: float):
+        self.seconds, self.due = seconds, None
+
+    def __call__(self) -> None:
+        now = time.monotonic()
+        due = now + self.seconds if self.due is None else self.due
+        if due > now:
+            time.sleep(due - now)
+        self.due = time.monotonic() + self.seconds
+
+
+def at_once() -> None:
+    """No budget."""
+
+
 class Transport:
     """Gets bodies by relative URL; override ``pages`` where a range is cheaper."""
 
+    pace: Callable[[], None] = staticmethod(at_once)
+
+    def paced(self, pace: Callable[[], None]) -> Transport:
+        """The same transport, with ``pace`` called before each request."""
+        other = copy.copy(self)
+        other.pace = pace
+        return other
+
     def get(self, url: str) -> str:
+        """The body behind ``url``; raises LookupError if there is none."""
         raise NotImplementedError
 
+    def fetch(self, url: str) -> str:
+        """One request at the transport's pace."""
+        self.pace()
+        return self.get(url)
+
     def pages(self, endpoint: str, first: int, last: int | None, paging: Paging) -> Iterator[tuple[int, str]]:
         """The bodies of pages ``first..last``; without ``last``, on and on."""
         page = first
         while last is None or page <= last:
-            yield page, self.get(paging.url(endpoint, page))
+            yield page, self.fetch(paging.url(endpoint, page))
             page += 1
 
 
@@ -76,11 +138,15 @@ class HttpTransport(Transport):
         self.base_url, self.headers = base_url.rstrip("/"), headers
         self.pause, self.timeout, self.opener = pause, timeout, opener
 
+    def fetch(self, url: str) -> str:
+        return self.get(url)  # which paces each attempt
+
     def get(self, url: str) -> str:
         wait = BACKOFF_MIN_SECONDS
         asked = 0.0
         for attempt in range(MAX_RETRIES + 1):
             request = urllib.request.Request(self.base_url + url, headers=self.headers())
+            self.pace()
             try:
                 with self.opener(request, timeout=self.timeout) as response:
                     body = response.read().decode("utf-8", errors="replace")
@@ -99,44 +165,3 @@ class HttpTransport(Transport):
             time.sleep(max(asked, wait * (1 + random.random() * BACKOFF_JITTER)))
             wait = min(2 * wait, BACKOFF_MAX_SECONDS)
         raise AssertionError("unreachable")
-
-
-class LandedTransport(Transport):
-    """Replays the pages of one dataset from a landing table (``landed.land_pages``)."""
-
-    def __init__(self, path: str):
-        self.path = path
-
-    def _block(self, block: int, condition) -> Iterator[tuple[int, str]]:
-        import pyarrow.dataset as ds
-        import pyarrow.fs as fs
-
-        if "://" in self.path or self.path.startswith("file:"):
-            filesystem, path = fs.FileSystem.from_uri(self.path)
-        else:
-            filesystem, path = fs.LocalFileSystem(), self.path
-        folder = f"{path}/block={block}"
-        if filesystem.get_file_info(folder).type == fs.FileType.NotFound:
-            return
-        # bodies are large, so little is read ahead
-        scan = ds.dataset(folder, filesystem=filesystem, format="parquet").scanner(
-            columns=["page", "body"], filter=condition, batch_size=16, batch_readahead=1, fragment_readahead=1
-        )
-        for batch in scan.to_batches():
-            yield from zip(batch.column("page").to_pylist(), batch.column("body").to_pylist())
-
-    def pages(self, endpoint: str, first: int, last: int | None, paging: Paging) -> Iterator[tuple[int, str]]:
-        import pyarrow.compute as pc
-
-        condition = pc.field("page") >= first
-        if last is not None:
-            condition = condition & (pc.field("page") <= last)
-        block = (first - 1) // BLOCK_PAGES
-        while last is None or block <= (last - 1) // BLOCK_PAGES:
-            found = False
-            for found_page in self._block(block, condition):
-                found = True
-                yield found_page
-            if last is None and not found:
-                return
-            block += 1

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from pagedframes.sources import (
     FunctionTransport,
     HttpTransport,
-    LandedTransport,
     land_pages,
     pages_from_table,
     register_transport,
     unnest,
 )
+from pagedframes.replay import LandedTransport
 from pagedframes.sources.paged import PagedReader, PagedStreamReader, PushdownReader
 from pagedframes.storage import new_folder
 from pagedframes.streaming import drain, stream_api, stream_items
@@ -134,12 +134,12 @@ def test_landed_pages_replay(spark):
     body = F.concat(F.lit('{"$total":%d,"$items":[' % total), F.array_join(item, ","), F.lit("]}"))
     folder = new_folder(spark, "landed")
     land_pages(rows.withColumn("body", body), folder)
-    assert sorted(ids(spark, LandedTransport(folder), width=70)) == list(range(total))
+    assert sorted(ids(spark, LandedTransport(folder, {"/x": "d"}), width=70)) == list(range(total))
     assert pages_from_table(spark, folder, "d").count() == 1002
     gap = new_folder(spark, "landed")
     land_pages(rows.withColumn("body", body).filter("page != 3"), gap)
     with pytest.raises(PySparkException, match="expected page 3, got page 4"):
-        ids(spark, LandedTransport(gap), width=10)
+        ids(spark, LandedTransport(gap, {"/x": "d"}), width=10)
 
 
 def test_stream_goes_on_where_it_ended(spark):

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as contract
 from conftest import SF
 
-FROM_API = {"read_paged", "read_dataset"}
+FROM_API = {"read_paged", "read_dataset", "read_invoices", "read_single", "read_fleet", "read_filtered"}
 
 
 def plan_of(df):
