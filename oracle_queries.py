@@ -201,7 +201,9 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'json', event_id, md5(props), CAST(length(props) AS INTEGER) FROM events""",
     "csv_bodies": """
         SELECT p_partkey // 200 AS body_id, CAST(p_partkey % 200 + 1 AS INTEGER) AS pos,
-               CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_brand AS brand, p_size AS size,
+               CAST(p_partkey AS VARCHAR) AS id,
+               CASE WHEN p_partkey % 3 = 0 THEN p_name || chr(10) || '"' || p_brand || '"' ELSE p_name END AS name,
+               p_brand AS brand, p_size AS size,
                p_retailprice AS price
         FROM part""",
     "typed_rows": f"""

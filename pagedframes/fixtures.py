@@ -204,10 +204,11 @@ def land_more(pages: DataFrame, folder: str) -> None:
 
 
 def csv_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``body_id, content``: parts as CSV, 200 lines and a header each."""
+    """``body_id, content``: parts as CSV, 200 records and a header each; each third name has a line end and quotes."""
+    broken = F.concat("p_name", F.lit('\n"'), "p_brand", F.lit('"'))
     row = F.struct(
         F.col("p_partkey").alias("id"),
-        F.col("p_name").alias("name"),
+        F.when(F.col("p_partkey") % 3 == 0, broken).otherwise(F.col("p_name")).alias("name"),
         F.col("p_brand").alias("brand"),
         F.col("p_size").alias("size"),
         F.col("p_retailprice").alias("price"),

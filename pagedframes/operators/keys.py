@@ -32,8 +32,12 @@ def read_by_keys(rows: DataFrame, keys: DataFrame, column: str = "id") -> DataFr
 
     The strategy is left to Spark: broadcast when the measured key side is
     small, else a shuffle whose skewed partitions adaptive execution splits.
+    Null keys are left out here, and the join then takes nulls for equal, since
+    else Catalyst would look for null keys of ``rows`` in a filter before the
+    join, and parse records once more for it.
     """
-    return rows.join(_thinned(keys, column), column, "left_semi")
+    wanted = _thinned(keys.filter(F.col(f"`{column}`").isNotNull()), column).withColumnRenamed(column, "__key")
+    return rows.join(wanted, rows[f"`{column}`"].eqNullSafe(wanted["__key"]), "left_semi")
 
 
 def unmatched_keys(rows: DataFrame, keys: DataFrame, column: str = "id") -> DataFrame:

@@ -15,6 +15,9 @@ _CORRUPT = "_corrupt_record"
 def typed_rows(items: DataFrame, schema: T.StructType, item: str = "item") -> DataFrame:
     """Replace ``item`` by the declared columns; a value that does not fit its type becomes null.
 
+    What stands behind the end of a record is not looked at here;
+    :func:`pagedframes.operators.field_problems` tells of it.
+
     ``from_json`` makes every field nullable, so ``required`` is for
     :func:`pagedframes.operators.validate` to check.
     """

@@ -36,8 +36,8 @@ def endpoints(specs: DataFrame) -> DataFrame:
     """
     # posexplode restarts for each endpoint, so the document-wide order needs both positions
     paths = specs.select(
-        "spec_id", F.posexplode(F.from_json("body", f"paths map<string,{_MAP}>").getField("paths"))
-    ).select("spec_id", F.col("pos").alias("path_pos"), F.col("key").alias("endpoint"), F.col("value").alias("methods"))
+        "spec_id", F.posexplode_outer(F.from_json("body", f"paths map<string,{_MAP}>").getField("paths"))
+    ).filter("key is not null").select("spec_id", F.col("pos").alias("path_pos"), F.col("key").alias("endpoint"), F.col("value").alias("methods"))
     operations = paths.select("spec_id", "path_pos", "endpoint", F.posexplode("methods")).filter(
         ~F.startswith(F.col("key"), F.lit("x-"))
     )
@@ -77,7 +77,7 @@ def endpoints(specs: DataFrame) -> DataFrame:
             F.coalesce(p["required"], F.lit(False)).alias("required"),
         ),
     )
-    return read.select(
+    operation = F.struct(
         "spec_id",
         "pos",
         "endpoint",
@@ -87,6 +87,8 @@ def endpoints(specs: DataFrame) -> DataFrame:
         params.alias("params"),
         problem.alias("problem"),
     )
+    # an array of one: filters on what was parsed stay behind it, where they do not parse again
+    return read.select(F.explode(F.array(operation)).alias("operation")).select("operation.*")
 
 
 def read_paths(endpoints: DataFrame, endpoint: str | None = None) -> DataFrame:

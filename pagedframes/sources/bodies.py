@@ -21,11 +21,40 @@ def decode_bodies(bodies: DataFrame, content: str = "content", kind: str = "kind
     return bodies.select(*keep, F.when(problem.isNull(), text).otherwise(F.raise_error(problem)).alias("text"))
 
 
+_ESC = "\x01"  # stands before a, b and c: itself, a line end within quotes, a quote behind a backslash
+
+
+def _split_lines(text: Column) -> Column:
+    """Lines end where a line end has an even number of quotes before it.
+
+    Cut at its quotes, a body is by turns outside and inside of them. The line
+    ends inside are set aside until the body is cut at the others. A quote
+    behind a backslash does not open or close anything.
+    """
+    safe = F.replace(F.replace(text, F.lit(_ESC), F.lit(f"{_ESC}a")), F.lit('\\"'), F.lit(f"{_ESC}c"))
+    pieces = F.transform(
+        F.split(safe, '"'), lambda piece, k: F.when(k % 2 == 1, F.replace(piece, F.lit("\n"), F.lit(f"{_ESC}b"))).otherwise(piece)
+    )
+    lines = F.split(F.array_join(pieces, '"'), "\r?\n")
+    marks = {"b": "\n", "c": '\\"', "a": _ESC}
+
+    def restored(line: Column) -> Column:
+        for mark, held in marks.items():
+            line = F.replace(line, F.lit(_ESC + mark), F.lit(held))
+        return line
+
+    return F.transform(lines, lambda line: F.when(F.contains(line, F.lit(_ESC)), restored(line)).otherwise(line))
+
+
 def csv_lines(bodies: DataFrame, content: str = "content") -> DataFrame:
-    """One row per line, header line included (``pos`` 0), surrounding blanks of the body removed."""
+    """One row per line, header line included (``pos`` 0), surrounding blanks of the body removed.
+
+    A line end within quotes belongs to its value. Quotes that are never closed
+    hold all that follows, which then is no line as declared.
+    """
     keep = [F.col(f"`{c}`") for c in bodies.columns if c != content]
     text = F.trim(utf8_text(F.col(content)), F.lit(" \t\r\n"))
-    return bodies.select(*keep, F.posexplode(F.split(text, "\r?\n")).alias("pos", "line"))
+    return bodies.select(*keep, F.posexplode(_split_lines(text)).alias("pos", "line"))
 
 
 _BAD = "__bad"

@@ -7,23 +7,19 @@ folder that ``spark.checkpoint.dir`` names.
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of this session."""
+    """The shared folder of this session: that of ``spark.checkpoint.dir``, else one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="pagedframes-")
-        spark.sparkContext.setCheckpointDir(folder)
+        # the warehouse is shared by its nature; a machine's own folder is not
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.pagedframes"
     return folder.rstrip("/")
 
 

@@ -76,3 +76,19 @@ def test_pages_from_files(spark, tmp_path):
         (tmp_path / f"p{page}.json").write_text(f'{{"$total": 2,\n "$items": [{{"id": {page}}}]}}')
     pages = pages_from_files(spark, str(tmp_path), "x")
     assert {r["item"] for r in unnest(pages).collect()} == {'{"id":1}', '{"id":2}'}
+
+
+@pytest.mark.parametrize(
+    "body, lines",
+    [
+        ('a,b\n1,"x\ny"\n2,z', ["a,b", '1,"x\ny"', "2,z"]),
+        ('a\r\n"x\r\ny"\r\nz', ["a", '"x\r\ny"', "z"]),
+        ('a\n"say ""hi\n"" to"\nz', ["a", '"say ""hi\n"" to"', "z"]),
+        ('a\n"say \\"hi\n"\nz', ["a", '"say \\"hi\n"', "z"]),
+        ("a\n\x01b\x01\nc", ["a", "\x01b\x01", "c"]),
+        ('a\n"open\nrest', ["a", '"open\nrest']),
+    ],
+)
+def test_line_ends_within_quotes_belong_to_values(spark, body, lines):
+    frame = spark.createDataFrame([(1, bytearray(body.encode()))], "body_id INT, content BINARY")
+    assert [r["line"] for r in csv_lines(frame).orderBy("pos").collect()] == lines
