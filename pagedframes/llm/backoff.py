@@ -32,9 +32,9 @@ from pagedframes.llm.shingles import Words
 #: words of an n-gram at most
 ORDER = 2
 #: tokens of a block; a longer text is a block of its own
-BLOCK = 1_000_000
+BLOCK = 250_000
 #: requests of one owner of a key range, about
-OWNED = 4_000_000
+OWNED = 1_000_000
 
 # what stands before and behind a text; no word is blank
 _START, _END = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b" ", b"\n"))
