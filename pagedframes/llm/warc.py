@@ -29,6 +29,8 @@ from pagedframes.storage import new_folder
 REVISIT_BYTES = 1000
 #: bytes between two records that are rather read than skipped, and the most of one read unless a record is larger
 GAP, RANGE = 1 << 16, 1 << 23
+#: bytes of an archive that a task reads, about
+PIECE = 1 << 24
 DATE = "2000-01-01T00:00:00Z"
 
 _INDEX = "file string, offset bigint, length bigint, page_id bigint, url string, digest string, record_type string"
@@ -175,6 +177,12 @@ def _read(batches: Iterator[pa.RecordBatch], payload: bool) -> Iterator[pa.Recor
 
 
 def read_records(index: DataFrame, payload: bool = True) -> DataFrame:
-    """The records that the rows of ``index`` name, parsed and checked; a revisit has no payload of its own."""
-    places = index.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
-    return places.mapInArrow(partial(_read, payload=payload), _RECORDS)
+    """The records that the rows of ``index`` name, parsed and checked; a revisit has no payload of its own.
+
+    Tasks are cut by the bytes of the archives, ``PIECE`` or so each, not by
+    the rows of the index, which are far smaller than what they stand for.
+    """
+    total = index.agg(F.sum("length")).first()[0] or 0
+    piece = F.floor(F.col("offset") / PIECE)
+    places = index.select("file", "offset", "length").repartition(max(1, -(-total // PIECE)), "file", piece)
+    return places.sortWithinPartitions("file", "offset").mapInArrow(partial(_read, payload=payload), _RECORDS)
