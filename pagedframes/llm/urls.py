@@ -46,11 +46,12 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def propagate(
-    edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, rounds: int = 100
+    edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6
 ) -> DataFrame:
     """``host, score``: personalised PageRank over ``edges`` (``src, dst, n``) from ``seeds`` (``host``), which share 1.
 
-    Rounds end when no score moves by more than ``tolerance`` of itself, or after ``rounds`` of them. Scores shrink
+    Rounds end when no host is new and no score moves by more than ``tolerance`` of itself, however many links away
+    from a seed that is: what a round hands on is ``damping`` of the one before, so it comes to nothing. Scores shrink
     as seeds and links grow in number, so nothing here looks at their size. What a host without links holds is not
     handed on; giving it back to the seeds would multiply all scores by one number. No seeds, no rows.
     """
@@ -59,12 +60,13 @@ def propagate(
     scores = start.select("host", (F.col("score") * (1 - damping)).alias("score")).withColumn("moved", F.col("score"))
     out = edges.groupBy("src").agg(F.sum("n").alias("total"))
     steps = cut(edges.join(out, "src").select("src", "dst", (damping * F.col("n") / F.col("total")).alias("share")), "steps")
-    for _ in range(rounds if n_seeds else 0):
+    while n_seeds:
         flow = scores.filter("moved > 0").join(steps, scores["host"] == steps["src"])
         flow = flow.select(F.col("dst").alias("host"), (F.col("moved") * F.col("share")).alias("score"))
         held = scores.withColumn("moved", F.lit(0.0)).unionByName(flow.withColumn("moved", F.col("score")))
         scores = cut(held.groupBy("host").agg(F.sum("score").alias("score"), F.sum("moved").alias("moved")), "scores")
         # what a round hands on is what the one before brought
+        # (a new host has moved by all of its score)
         if scores.agg(F.max(F.col("moved") / F.col("score"))).first()[0] <= tolerance:
             break
     return scores.select("host", "score")

@@ -143,6 +143,24 @@ def test_url_rules_and_links(spark):
         assert next(r.trust for r in rows if r.host == host) == pytest.approx(score[host], abs=1e-5)
 
 
+def test_distrust_goes_any_number_of_links(spark):
+    n = 130
+    rows = [(k, f"http://h{k}.de/", f'<a href="http://h{k - 1}.de/">' if k > 1 else '<a href="http://bad.net/">') for k in range(1, n + 1)]
+    pages = spark.createDataFrame([*rows, (0, "http://bad.net/", "")], "page_id bigint, url string, html string")
+    judged = urls.judge(pages, RULES).select("page_id", "verdict", "distrust").collect()
+    assert len(judged) == n + 1 and all(r.verdict == "block" and r.distrust > 0 for r in judged)
+
+
+def test_warc_is_read_back_by_bytes(spark, monkeypatch):
+    rows = [(k, f"http://h/{k}", random.Random(k).randbytes(3000).hex()) for k in range(60)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    index = warc.write_archives(pages)
+    monkeypatch.setattr(warc, "PIECE", 20_000)
+    records = warc.read_records(index)
+    assert records.rdd.getNumPartitions() >= 9
+    assert {(r.page_id, bytes(r.payload).decode()) for r in records.collect()} == {(k, h) for k, _, h in rows}
+
+
 def test_url_verdicts_do_not_go_by_size(spark):
     """Two hosts on the way to one blocked seed among many, whose other in-links come from a much larger host."""
     link = '<a href="http://{}/x">'.format
