@@ -200,7 +200,9 @@ def posting_lists(judged: DataFrame, n: int = len(FILTERS)) -> DataFrame:
     def listed(condition: Column) -> Column:
         return F.sort_array(F.collect_list(F.when(condition, F.col("id"))))
 
-    return judged.groupBy("part", "range").agg(
+    # merging costs far more than the bytes of the lists tell, so tasks are counted by rows
+    tasks = max(1, -(-judged.count() // (4 * RANGE)))
+    return judged.repartition(tasks, "part", "range").groupBy("part", "range").agg(
         F.count("*").alias("docs"),
         *[listed(F.col("fails")[k]).alias(f"fails_{k}") for k in range(n)],
         *[listed(F.col(m)).alias(m) for m in LABELS],
