@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagedframes.llm.common import cut
 from pagedframes.llm.tokens import END, Encoder
 from pagedframes.storage import new_folder
 
@@ -184,6 +185,10 @@ def _place(batches: Iterator[pa.RecordBatch], plan: Plan, length: int, width: in
         )
 
 
+#: starts of queues (a row for each task that coded texts, and queue) that go to every task, about 30 MB
+FEW_STARTS = 1 << 20
+
+
 def pack(
     docs: DataFrame,
     tokenizer: str,
@@ -220,6 +225,10 @@ def pack(
     totals = tuple(found.get(k, 0) for k in range(len(queues) + 1))
     plan = Plan.of(totals, (*mixture.values(), rest), window * length)
     width = Encoder(tokenizer).dtype.itemsize
+    base = cut(base, "queue-starts")
+    if base.count() <= FEW_STARTS:
+        # a few numbers go to the tokens, and no token moves; beyond the bound both sides are dealt by key
+        base = F.broadcast(base)
     placed = tokens.join(base, ["part", "queue"]).withColumn("at", F.col("base") + F.col("before"))
     placed = placed.select("doc_id", "queue", "at", "n", "ids")
     return placed.mapInArrow(partial(_place, plan=plan, length=length, width=width, ids=ids), _PIECES)
