@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagedframes.functions.bodies import whole_variant
+from pagedframes.functions.bodies import whole_json
 
-_WRITTEN = "map<string,variant>"  # an object as written: field name -> value
+_WRITTEN = T.MapType(T.StringType(), T.StringType())  # an object as written: field name -> JSON text
 _NONE = "array<struct<field:string,problem:string>>"
 
 Path = tuple[str, ...]
@@ -37,18 +37,8 @@ def _struct_paths(schema: T.StructType, path: Path = ()) -> list[Path]:
     return found
 
 
-def _object(value: Column) -> Column:
-    """A variant as an object; null if it is none."""
-    return value.try_cast(_WRITTEN)
-
-
-def _present(value: Column) -> Column:
-    """Whether a value was written that is not null; never null itself."""
-    return value.isNotNull() & ~F.coalesce(F.is_variant_null(value), F.lit(False))
-
-
 class _Written:
-    """The written objects of a record; those outside arrays are columns, each taken out of the one parsed variant."""
+    """The written objects of a record; those outside arrays are columns, each parsed once."""
 
     def __init__(self, schema: T.StructType):
         self.names = {(): "__written"}
@@ -56,22 +46,21 @@ class _Written:
             self.names[path] = f"__written{len(self.names)}"
 
     def add_to(self, rows: DataFrame, item: str) -> DataFrame:
-        rows = rows.withColumn("__variant", whole_variant(F.col(f"`{item}`")))
-        rows = rows.withColumn("__written", _object(F.col("__variant"))).drop("__variant")
+        rows = rows.withColumn("__written", F.from_json(item, _WRITTEN))
         depth = max(len(path) for path in self.names)
         for level in range(1, depth + 1):
-            values = {p: F.element_at(self.names[p[:-1]], F.lit(p[-1])) for p in self.names if len(p) == level}
-            rows = rows.withColumns({self.names[p]: _object(value) for p, value in values.items()})
+            texts = {p: F.element_at(self.names[p[:-1]], F.lit(p[-1])) for p in self.names if len(p) == level}
+            rows = rows.withColumns({self.names[p]: F.from_json(text, _WRITTEN) for p, text in texts.items()})
         return rows
 
-    def child(self, path: Path | None, value: Column) -> Column:
-        return _object(value) if path is None else F.col(self.names[path])
+    def child(self, path: Path | None, text: Column) -> Column:
+        return F.from_json(text, _WRITTEN) if path is None else F.col(self.names[path])
 
 
 def _struct_problems(
     written: Column, typed: Column, schema: T.StructType, label: str, objects: _Written, path: Path | None
 ) -> list[Column]:
-    """``written`` is the object as written, ``typed`` what the schema made of it; ``path`` is None below an array."""
+    """``written`` is the object as text, ``typed`` what the schema made of it; ``path`` is None below an array."""
     prefix = f"{label}." if label else ""
     declared = F.array(*[F.lit(name) for name in schema.fieldNames()])
     extra = F.coalesce(F.array_except(F.map_keys(written), declared), F.array().cast("array<string>"))
@@ -81,31 +70,31 @@ def _struct_problems(
 
     found = [F.transform(extra, undeclared)]
     for field in schema.fields:
-        raw, value = F.element_at(written, F.lit(field.name)), typed.getField(field.name)
+        text, value = F.element_at(written, F.lit(field.name)), typed.getField(field.name)
         here = prefix + field.name
         if not field.nullable:
-            found.append(_when(written.isNotNull() & ~_present(raw), here, "missing"))
-        found.append(_when(_present(raw) & value.isNull(), here, "unreadable"))
+            found.append(_when(written.isNotNull() & text.isNull(), here, "missing"))
+        found.append(_when(text.isNotNull() & value.isNull(), here, "unreadable"))
         below = None if path is None else (*path, field.name)
         if isinstance(field.dataType, T.StructType):
-            inner = objects.child(below, raw)
+            inner = objects.child(below, text)
             found.extend(_struct_problems(inner, value, field.dataType, here, objects, below))
         elif isinstance(field.dataType, T.ArrayType):
-            found.append(_array_problems(raw, value, field.dataType.elementType, f"{here}[]", objects))
+            found.append(_array_problems(text, value, field.dataType.elementType, f"{here}[]", objects))
     return found
 
 
-def _array_problems(raw: Column, typed: Column, element: T.DataType, label: str, objects: _Written) -> Column:
+def _array_problems(text: Column, typed: Column, element: T.DataType, label: str, objects: _Written) -> Column:
     is_struct = isinstance(element, T.StructType)
-    written = raw.try_cast("array<variant>")
+    written = F.from_json(text, T.ArrayType(_WRITTEN if is_struct else T.StringType()))
     # either side may be null; then there is nothing to compare
     pairs = F.arrays_zip(written.alias("written"), typed.alias("typed"))
     if not is_struct:
-        bad = F.exists(pairs, lambda pair: _present(pair["written"]) & pair["typed"].isNull())
+        bad = F.exists(pairs, lambda pair: pair["written"].isNotNull() & pair["typed"].isNull())
         return _when(F.coalesce(bad, F.lit(False)), label, "unreadable")
 
     def of_one(pair: Column) -> Column:
-        return F.concat(*_struct_problems(_object(pair["written"]), pair["typed"], element, label, objects, None))
+        return F.concat(*_struct_problems(pair["written"], pair["typed"], element, label, objects, None))
 
     # several elements with the same problem are one problem of the record
     return F.coalesce(F.array_distinct(F.flatten(F.transform(pairs, of_one))), F.array().cast(_NONE))
@@ -117,15 +106,14 @@ def field_problems(items: DataFrame, schema: T.StructType, item: str = "item") -
     ``missing`` is a required field without a value, ``unreadable`` a value
     that the declared type cannot hold, ``undeclared`` a field the schema does
     not know. A record that is no object, or that text follows, has the problem
-    ``unreadable`` with the field ``$``. Elements of arrays are checked one by
-    one. A record is parsed twice: as what is written, and as what is declared.
+    ``unreadable`` with the field ``$``. Elements of arrays are checked one by one.
     """
     keep = [F.col(f"`{c}`") for c in items.columns]
     objects = _Written(schema)
     parsed = objects.add_to(items.withColumn("__typed", F.from_json(item, schema)), item)
     written = F.col("__written")
     parts = _struct_problems(written, F.col("__typed"), schema, "", objects, ())
-    problems = F.when(written.isNotNull(), F.concat(*parts)).otherwise(F.array(_problem("$", "unreadable")))
+    problems = F.when(written.isNotNull() & whole_json(F.col(f"`{item}`")), F.concat(*parts)).otherwise(F.array(_problem("$", "unreadable")))
     # As a column of its own the array is computed with common parts shared. The
     # outer explode keeps Catalyst from computing it once more in a filter.
     each = parsed.select(*keep, problems.alias("__problems")).select(*keep, F.explode_outer("__problems").alias("__one"))
