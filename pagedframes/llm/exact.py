@@ -1,11 +1,11 @@
 """Exact duplicates by an extendible-hash index in the shared folder.
 
-Texts are compared byte by byte in one aggregate over (hash, text), whose
-copies combine before the shuffle; each distinct text becomes an index entry
-without its text. A directory over leading bits of the hash doubles until no
-bucket holds more than its capacity, buckets that need fewer bits stay
-shallow, and owners write their key ranges in order, with entries of one hash
-chained.
+A directory over leading bits of the hashes of all texts doubles until no
+bucket holds more hashes than its capacity; buckets that need fewer bits stay
+shallow. Each text then goes to the owner of its bucket, which compares texts
+of one hash byte by byte, chains those that differ, and writes the entries of
+its range of keys in order. Copies by the very many are combined before they
+move. Documents find their entry by hash and digest.
 """
 
 from __future__ import annotations
@@ -18,10 +18,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagedframes.llm.common import cut
-from pagedframes.storage import new_folder
 
-#: entries of a bucket, about 5 MB
-CAPACITY = 1 << 16
+#: different hashes of a bucket, whose texts one owner reads
+CAPACITY = 1 << 12
+#: a hash held by at least one of so many rows has its copies combined before they move
+HOT = 1000
 #: leading bits of a hash that the directory may use
 MAX_DEPTH = 40
 
@@ -37,7 +38,7 @@ def normalised(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class HashIndex:
-    """``entries``: ``key, link, keep_id, group_size, text_sha256, bucket``; ``directory``: ``slot, depth, bucket``."""
+    """``entries``: ``bucket, key, link, keep_id, group_size, text_sha256``; ``directory``: ``slot, depth, bucket``."""
 
     entries: DataFrame
     directory: DataFrame
@@ -76,26 +77,29 @@ def directory(keys: DataFrame, capacity: int) -> tuple[DataFrame, int]:
 def build_index(
     docs: DataFrame, capacity: int = CAPACITY, key: Callable[[Column], Column] = F.xxhash64
 ) -> HashIndex:
-    """Index of the distinct normalised texts of ``docs`` (``doc_id, text``), written to the shared folder."""
-    spark = docs.sparkSession
+    """Index of the distinct normalised texts of ``docs`` (``doc_id, text``), written to the shared folder.
+
+    Less than ``HOT`` hashes can be held by one of ``HOT`` rows each, so their list is broadcast whatever the input.
+    """
     texts = docs.select("doc_id", normalised(F.col("text")).alias("body"))
     texts = texts.select("doc_id", "body", key(F.col("body")).alias("key"))
-    classes = texts.groupBy("key", "body").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    classes = cut(classes.select("key", "keep_id", "group_size", F.sha2("body", 256).alias("text_sha256")), "classes")
-    slots, depth = directory(classes.select("key").distinct(), capacity)
+    keys = cut(texts.groupBy("key").agg(F.count("*").alias("n")), "keys")
+    slots, depth = directory(keys.select("key"), capacity)
     slots = cut(slots, "directory")
-    link = F.row_number().over(Window.partitionBy("key").orderBy(F.col("keep_id").asc_nulls_first(), "text_sha256"))
-    placed = (
-        classes.withColumn("link", link)
-        .withColumn("slot", _slot(F.col("key"), depth))
-        .join(slots.select("slot", "bucket"), "slot")
-        .drop("slot")
-    )
-    folder = new_folder(spark, "hash-index")
-    owned = placed.repartition("bucket").sortWithinPartitions("bucket", "key", "link")
-    owned.write.partitionBy("bucket").parquet(folder)
-    fields = "key bigint, keep_id bigint, group_size bigint, text_sha256 string, link int, bucket string"
-    return HashIndex(spark.read.schema(fields).parquet(folder), slots, depth)
+    total = keys.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(keys.filter((F.col("n") > 1) & (F.col("n") * HOT >= total)).select("key"))
+    single = texts.join(hot, "key", "left_anti")
+    single = single.select("key", "body", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"))
+    combined = texts.join(hot, "key", "left_semi").groupBy("key", "body")
+    combined = combined.agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    moved = single.unionByName(combined).withColumn("slot", _slot(F.col("key"), depth))
+    owned = moved.join(slots.select("slot", "bucket"), "slot").drop("slot").repartition("bucket")
+    # both the comparison and the chains stay in the task of the owner
+    equal = owned.groupBy("bucket", "key", "body").agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+    equal = equal.select("bucket", "key", "keep_id", "group_size", F.sha2("body", 256).alias("text_sha256"))
+    chain = Window.partitionBy("bucket", "key").orderBy(F.col("keep_id").asc_nulls_first(), "text_sha256")
+    entries = equal.withColumn("link", F.row_number().over(chain))
+    return HashIndex(cut(entries.sortWithinPartitions("bucket", "key", "link"), "hash-index"), slots, depth)
 
 
 def find_copies(
@@ -109,25 +113,15 @@ def find_copies(
     rows that share the smallest ``doc_id`` all stay, for no column tells them
     apart. No rows give no rows. Columns of ``docs`` with these names give way.
 
-    Where a hash has one entry, the aggregate that made it has shown all texts
-    of that hash equal; where entries are chained, texts are compared again.
+    Very long texts are hashed, moved and compared whole. Texts whose hashes
+    collide are told apart by the index, in which they are links of one chain.
     """
     index = build_index(docs, capacity, key)
     added = ["keep_id", "group_size", "text_sha256"]
-    rows = docs.drop(*added, "kept", "_key", "_body")
-    entries = index.entries.withColumnRenamed("key", "_key")
     body = normalised(F.col("text"))
-    hashed = rows.withColumn("_key", key(body))
-    chained = entries.filter("link > 1").select("_key").distinct()
-    single = entries
-    if not chained.isEmpty():
-        single = entries.join(chained, "_key", "left_anti")
-    result = hashed.join(single.select("_key", *added), "_key")
-    if not chained.isEmpty():
-        again = rows.withColumn("_body", body).withColumn("_key", key(F.col("_body"))).join(chained, "_key", "left_semi")
-        links = again.groupBy("_key", "_body").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-        links = links.withColumn("text_sha256", F.sha2("_body", 256))
-        result = result.unionByName(again.join(links, ["_key", "_body"]).drop("_body"))
+    rows = docs.drop(*added, "kept", "_key").withColumns({"_key": key(body), "text_sha256": F.sha2(body, 256)})
+    entries = index.entries.select(F.col("key").alias("_key"), *added)
+    result = rows.join(entries, ["_key", "text_sha256"])
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id"))).drop("_key")
 
 

@@ -85,6 +85,19 @@ def test_exact_copies(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({w[0] for w in want if w[3]})
 
 
+def test_colliding_texts_are_links_of_one_chain(spark):
+    """All hashes equal: one owner tells the texts apart; copies are counted whether they are hot or not."""
+    texts = [f"text {n % 7}  here" for n in range(700)]
+    docs = frame(spark, list(enumerate(texts)))
+    for key in (lambda c: exact.F.lit(5).cast("bigint"), exact.F.xxhash64):
+        index = exact.build_index(docs, capacity=2, key=key)
+        rows = index.entries.collect()
+        assert sorted((r.keep_id, r.group_size) for r in rows) == [(n, 100) for n in range(7)]
+        chain = sorted(r.link for r in rows)
+        assert chain == (list(range(1, 8)) if len({r.key for r in rows}) == 1 else [1] * 7)
+        assert all(len({r.bucket for r in rows if r.key == k}) == 1 for k in {r.key for r in rows})
+
+
 def test_directory_doubles_only_where_it_must(spark):
     wide, near = (spark.range(1, n).select(exact.F.shiftleft("id", k).alias("key")) for n, k in ((64, 58), (12, 52)))
     keys = wide.union(near)
