@@ -4,6 +4,8 @@ An item of n words may differ in k = floor(rate * n) words. Cut into k + 1
 pieces, one of them must appear as it is. All pieces of a block of items are
 found in one pass over a text by an Aho-Corasick automaton, and the
 surroundings of a hit are verified by Myers' bit-parallel distance over words.
+Blocks are written to the shared folder, from which each task reads them one
+after the other; the driver sees none of them.
 """
 
 from __future__ import annotations
@@ -11,18 +13,25 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import partial
+from dataclasses import dataclass
+from functools import lru_cache, partial
 
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagedframes.storage import new_folder
+
 #: part of an item's words that may differ
 RATE = 0.2
 #: an item with fewer words (a character of `DENSE` is half a word) and fewer characters must make up a whole document
 MIN_WORDS, MIN_CHARS = 5, 20
 #: characters of items that are searched for at once
 BLOCK_CHARS = 1 << 22
+#: bytes of documents that a task holds while it goes through the blocks
+HELD_BYTES = 1 << 26
 
 _HITS = "doc_id bigint, item_id bigint, start bigint, stop bigint, distance bigint, item_words bigint"
 _WORD = re.compile(r"\w+")
@@ -150,23 +159,62 @@ class Items:
             e = last + 1
 
 
-def _search(batches: Iterator[pa.RecordBatch], items: list, rate: float) -> Iterator[pa.RecordBatch]:
-    search = Items(items, rate)
-    for batch in batches:
-        ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
-        rows = [(d, *hit) for d, text in zip(ids, texts, strict=True) for hit in search.hits(text)]
-        names = ["doc_id", "item_id", "start", "stop", "distance", "item_words"]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(6)], names=names)
+@lru_cache(maxsize=1)
+def _read_block(folder: str, block: int, rate: float) -> Items:
+    """One block ready for search; a worker keeps the last one, so a benchmark of one block is built once."""
+    files, path = fs.FileSystem.from_uri(f"{folder}/block={block}")
+    if files.get_file_info(path).type == fs.FileType.NotFound:  # no item has this number
+        return Items([], rate)
+    held = pq.read_table(path, filesystem=files, columns=["item_id", "text"], partitioning=None)
+    rows = zip(held["item_id"].to_pylist(), held["text"].to_pylist(), strict=True)
+    return Items(sorted(rows, key=str), rate)
+
+
+@dataclass(frozen=True)
+class Blocks:
+    """The distinct items of a benchmark, written as ``block=N`` folders of about ``block_chars`` characters."""
+
+    folder: str
+    count: int
+    rate: float
 
+    def __iter__(self) -> Iterator[Items]:
+        return (_read_block(self.folder, block, self.rate) for block in range(self.count))
 
-def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list]:
-    """The distinct items in blocks of about ``block_chars`` characters."""
+
+def _write_blocks(benchmark: DataFrame, rate: float, block_chars: int) -> Blocks:
     items = benchmark.select(F.col("item_id").cast("bigint"), "text").distinct()
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks = -(-size // block_chars) or 1
-    of = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    for block in range(blocks):
-        yield sorted(map(tuple, items.filter(of == block).collect()), key=str)
+    count = -(-size // block_chars) or 1
+    spark = benchmark.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(new_folder(spark, "benchmark-blocks"))
+    # tasks open files by themselves, so the file system is named in full
+    folder = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(count)))
+    dealt.repartition("block").write.partitionBy("block").parquet(folder)
+    return Blocks(folder, count, rate)
+
+
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= HELD_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _search(batches: Iterator[pa.RecordBatch], blocks: Blocks) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", "item_id", "start", "stop", "distance", "item_words"]
+    for portion in _portions(batches):
+        for search in blocks:
+            for batch in portion:
+                ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
+                rows = [(d, *hit) for d, text in zip(ids, texts, strict=True) for hit in search.hits(text)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(6)], names=names)
 
 
 def find_leaks(
@@ -184,26 +232,22 @@ def find_leaks(
     one without words, like a null, matches nothing. Documents without text
     have no passage. Repeated rows and rows with null ids are searched alike.
 
-    The benchmark is searched for in blocks of bounded size, each sent with
-    its tasks and found in one pass over all documents.
+    The benchmark is searched for in blocks of bounded size, all in one pass
+    over the documents. Very long texts are searched whole.
     """
-    found = None
-    for items in _blocks(benchmark, block_chars):
-        rows = docs.select(F.col("doc_id").cast("bigint"), "text")
-        hits = rows.mapInArrow(partial(_search, items=items, rate=rate), _HITS)
-        found = hits if found is None else found.unionByName(hits)
-    return found
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text")
+    return rows.mapInArrow(partial(_search, blocks=_write_blocks(benchmark, rate, block_chars)), _HITS)
 
 
-def _clean(batches: Iterator[pa.RecordBatch], items: list, rate: float) -> Iterator[pa.RecordBatch]:
-    search = Items(items, rate)
-    for batch in batches:
-        stays = [next(search.hits(text), None) is None for text in batch["text"].to_pylist()]
-        yield batch.filter(pa.array(stays, pa.bool_()))
+def _clean(batches: Iterator[pa.RecordBatch], blocks: Blocks) -> Iterator[pa.RecordBatch]:
+    for portion in _portions(batches):
+        for search in blocks:
+            for k, batch in enumerate(portion):
+                stays = [next(search.hits(text), None) is None for text in batch["text"].to_pylist()]
+                portion[k] = batch.filter(pa.array(stays, pa.bool_()))
+        yield from portion
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the rows in which :func:`find_leaks` finds a passage, in the columns it has."""
-    for items in _blocks(benchmark, block_chars):
-        docs = docs.mapInArrow(partial(_clean, items=items, rate=rate), docs.schema)
-    return docs
+    return docs.mapInArrow(partial(_clean, blocks=_write_blocks(benchmark, rate, block_chars)), docs.schema)

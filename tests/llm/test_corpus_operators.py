@@ -601,3 +601,15 @@ def test_pipeline_matches_brute_force(spark):
     for r in corpus_pipeline.run(spark, SF).collect():
         got[r.doc_id] += r.length
     assert got == {d: len(encoder.ids(t)) + 1 for d, t in kept.items()}
+
+
+def test_benchmark_stays_in_the_shared_folder(spark):
+    """Many blocks, one with no item: what travels with tasks names the folder and nothing of the items."""
+    import pickle
+
+    bench = spark.createDataFrame([(n, f"item number {n} has words of its own w{n} x{n} y{n}") for n in range(40)], "item_id long, text string")
+    blocks = decontaminate._write_blocks(bench, 0.2, 40)
+    assert blocks.count > 40 and len(pickle.dumps(blocks)) < 1000
+    assert sorted(i for b in blocks for i, _ in b.items) == list(range(40))
+    found = decontaminate.find_leaks(bench.withColumnRenamed("item_id", "doc_id"), bench, block_chars=40)
+    assert {r.doc_id for r in found.filter("distance = 0 and doc_id = item_id").collect()} == set(range(40))
