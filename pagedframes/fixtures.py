@@ -77,7 +77,8 @@ def invoice_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(_invoice_lines(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        # the lines lie by order already; a broadcast of them would leave the encoding to the splits of the orders' file
+        .join(_invoice_lines(spark, sf_dir).hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
     )
     date = F.date_format("o_orderdate", "yyyy-MM-dd")
     group = F.struct(F.col("r_name").alias("name"))
