@@ -433,10 +433,13 @@ def description() -> str:
 def descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``spec_id, body``: one description per customer, named after the customer's segment, key and nation."""
     body = F.lit(description())
+    # a few bytes of a customer make kilobytes of text, so the text is made, and parsed, by all cores
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    customers = customers.repartition(spark.sparkContext.defaultParallelism, "c_custkey")
     segment = F.initcap("c_mktsegment")
     for place, value in (("@SEG@", segment), ("@ID@", F.col("c_custkey")), ("@NATION@", F.col("c_nationkey"))):
         body = F.replace(body, F.lit(place), value.cast("string"))
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("spec_id"), body.alias("body"))
+    return customers.select(F.col("c_custkey").alias("spec_id"), body.alias("body"))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ form lets Catalyst infer a filter before it, which parses the text once more.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -182,9 +182,12 @@ def field_paths(specs: DataFrame) -> DataFrame:
     definitions = write_and_reopen(_definitions(specs), f"{folder}/definitions")
     nodes, levels = _roots(definitions), []
     while True:
-        level = write_and_reopen(_expand(nodes), f"{folder}/level{len(levels)}")
+        # counted as the level is written, so no job reads it for that
+        seen = Observation()
+        rows = _expand(nodes).observe(seen, F.count_if(F.expr(_HAS_CHILDREN)).alias("parents"))
+        level = write_and_reopen(rows, f"{folder}/level{len(levels)}")
         levels.append(level)
-        if level.filter(_HAS_CHILDREN).isEmpty():
+        if not seen.get["parents"]:
             break
         nodes = _children(level, definitions)
     found = levels[0]

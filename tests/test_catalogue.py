@@ -162,3 +162,8 @@ def test_params(spark):
 def test_base_url(spark):
     doc = {"host": "h.test", "basePath": "/v1", "schemes": ["https", "http"]}
     assert plans.base_url(specs(spark, doc)).first()["base_url"] == "https://h.test/v1"
+
+
+def test_no_description_has_no_fields(spark):
+    none = spark.createDataFrame([], "spec_id bigint, body string")
+    assert plans.field_paths(none).count() == 0
