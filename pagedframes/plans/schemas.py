@@ -1,10 +1,13 @@
 """Fields of the schemas in API descriptions, with references followed.
 
-A field that refers to another definition holds that definition's fields. The
-references of all schemas of all documents are followed together, one level
-per round: the rows of a level that have children are joined with the
-definitions on (document, name). Each level is a written table, so no round
-computes an earlier one again and a lost executor costs one level's tasks.
+A field that refers to another definition holds that definition's fields. Each
+definition is read once, for its own fields and those of objects written
+within it. The references between definitions are then small rows without any
+text, and walks along them double in length each round: walks of exactly the
+longest length so far are joined with all walks that begin where they end. So a
+chain of ``n`` references takes about ``log2(n)`` rounds, whatever the number of
+documents. Each round is a written table, so no round computes an earlier one
+again and a lost executor costs one round's tasks.
 
 Parsed JSON is exploded with the outer form and a filter after it: the plain
 form lets Catalyst infer a filter before it, which parses the text once more.
@@ -24,7 +27,8 @@ _FIELD = (
     "type string, format string, `$ref` string, properties string,"
     " items struct<`$ref`:string,type:string,properties:string>"
 )
-_HAS_CHILDREN = "problem is null and (ref is not null or child is not null)"
+_INLINE = "problem is null and ref is null and child is not null"
+_REFERS = "problem is null and ref is not null"
 _LEAF_TYPES = {
     "boolean": T.BooleanType(),
     "int": T.IntegerType(),
@@ -130,26 +134,89 @@ def _expand(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _children(level: DataFrame, definitions: DataFrame) -> DataFrame:
-    """The object nodes below a level."""
-    parents = level.filter(_HAS_CHILDREN).select(
+def _inline(level: DataFrame) -> DataFrame:
+    """The objects written within the fields of a level, as nodes."""
+    return level.filter(_INLINE).select(
         "spec_id",
         "schema_name",
         "path",
         "pos",
-        F.when(F.col("ref").isNotNull(), F.array_append("opened", F.col("ref")))
-        .otherwise(F.col("opened"))
-        .alias("opened"),
+        "opened",
         "path_nullable",
         (F.col("in_array") | F.startswith(F.col("type"), F.lit("array"))).alias("in_array"),
         "unknown",
-        "ref",
-        "child",
+        F.col("child").alias("node"),
     )
-    named = definitions.select("spec_id", F.col("name").alias("ref"), "node", "unknown")
-    by_ref = parents.filter("ref is not null").drop("child", "unknown").join(named, ["spec_id", "ref"])
-    inline = parents.filter("ref is null").withColumnRenamed("child", "node")
-    return by_ref.unionByName(inline).drop("ref")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def _own_fields(specs: DataFrame, folder: str) -> DataFrame:
+    """The fields that each definition has itself, those of objects written within it included.
+
+    One narrow pass for each level of such objects, none of which moves a row.
+    """
+    nodes, levels = _roots(_definitions(specs)), []
+    while True:
+        # counted as the level is written, so no job reads it for that
+        seen = Observation()
+        rows = _expand(nodes).observe(seen, F.count_if(F.expr(_INLINE)).alias("objects"))
+        level = write_and_reopen(rows, f"{folder}/own{len(levels)}")
+        levels.append(level)
+        if not seen.get["objects"]:
+            return _union([level.drop("child", "unknown") for level in levels])
+        nodes = _inline(level)
+
+
+_WALK = ["spec_id", "first", "last", "path", "pos", "opened", "path_nullable", "in_array"]
+
+
+def _walks(own: DataFrame, folder: str) -> DataFrame:
+    """All walks along references that open no definition twice, from ``first`` to ``last``.
+
+    ``opened`` names the definitions on the walk in order, both ends included.
+    """
+    steps = own.filter(_REFERS).select(
+        "spec_id",
+        F.col("schema_name").alias("first"),
+        F.col("ref").alias("last"),
+        "path",
+        "pos",
+        F.array("schema_name", "ref").alias("opened"),
+        "path_nullable",
+        (F.col("in_array") | F.startswith(F.col("type"), F.lit("array"))).alias("in_array"),
+    )
+    longest = 1
+    rounds = [write_and_reopen(steps, f"{folder}/walks0")]
+    while True:
+        begun, all_walks = rounds[-1].filter(F.size("opened") == longest + 1), _union(rounds)
+        onward = all_walks.select(
+            F.col("spec_id").alias("__spec"), F.col("first").alias("__at"), *[F.col(c).alias(f"__{c}") for c in _WALK[2:]]
+        )
+        beyond = F.slice("__opened", F.lit(2), F.size("__opened"))
+        met = begun.join(onward, (F.col("spec_id") == F.col("__spec")) & (F.col("last") == F.col("__at")))
+        met = met.filter(~F.arrays_overlap("opened", beyond)).select(
+            "spec_id",
+            "first",
+            F.col("__last").alias("last"),
+            F.concat("path", "__path").alias("path"),
+            F.concat("pos", "__pos").alias("pos"),
+            F.concat("opened", beyond).alias("opened"),
+            (F.col("path_nullable") | F.col("__path_nullable")).alias("path_nullable"),
+            (F.col("in_array") | F.col("__in_array")).alias("in_array"),
+        )
+        longest *= 2
+        seen = Observation()
+        met = met.observe(seen, F.count_if(F.size("opened") == longest + 1).alias("longest"))
+        rounds.append(write_and_reopen(met, f"{folder}/walks{len(rounds)}"))
+        # part of a walk is a walk, so without one of this length there is none that is longer
+        if not seen.get["longest"]:
+            return _union(rounds)
 
 
 _PUBLIC = ["spec_id", "schema_name", "path", "pos", "type", "nullable", "ref", "problem", "path_nullable", "in_array"]
@@ -177,23 +244,24 @@ def field_paths(specs: DataFrame) -> DataFrame:
     whether an array lies above. A reference to a schema that is being opened
     already is dropped and told as ``problem``, so cycles end.
     """
-    spark = specs.sparkSession
-    folder = new_folder(spark, "fields")
-    definitions = write_and_reopen(_definitions(specs), f"{folder}/definitions")
-    nodes, levels = _roots(definitions), []
-    while True:
-        # counted as the level is written, so no job reads it for that
-        seen = Observation()
-        rows = _expand(nodes).observe(seen, F.count_if(F.expr(_HAS_CHILDREN)).alias("parents"))
-        level = write_and_reopen(rows, f"{folder}/level{len(levels)}")
-        levels.append(level)
-        if not seen.get["parents"]:
-            break
-        nodes = _children(level, definitions)
-    found = levels[0]
-    for level in levels[1:]:
-        found = found.unionByName(level)
-    return found.select(*_PUBLIC)
+    folder = new_folder(specs.sparkSession, "fields")
+    own = _own_fields(specs, folder)
+    walks = _walks(own, folder).select(*[F.col(c).alias(f"__{c}") for c in _WALK])
+    below = own.join(walks, (F.col("spec_id") == F.col("__spec_id")) & (F.col("schema_name") == F.col("__last")))
+    back = F.when(F.array_contains("__opened", F.col("ref")), F.concat(F.lit("refers back to "), "ref"))
+    below = below.select(
+        "spec_id",
+        F.col("__first").alias("schema_name"),
+        F.concat("__path", "path").alias("path"),
+        F.concat("__pos", "pos").alias("pos"),
+        "type",
+        "nullable",
+        "ref",
+        F.coalesce("problem", back).alias("problem"),
+        (F.col("path_nullable") | F.col("__path_nullable")).alias("path_nullable"),
+        (F.col("in_array") | F.col("__in_array")).alias("in_array"),
+    )
+    return own.select(*_PUBLIC).unionByName(below)
 
 
 def flat_fields(paths: DataFrame) -> DataFrame:

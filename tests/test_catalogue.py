@@ -5,6 +5,8 @@ from pyspark.sql import types as T
 
 from pagedframes import fixtures as fx
 from pagedframes import plans
+from pagedframes.plans import schemas
+from pagedframes.storage import write_and_reopen
 
 TEXT, WHOLE, REAL = {"type": "string"}, {"type": "integer"}, {"type": "number", "format": "double"}
 
@@ -167,3 +169,52 @@ def test_base_url(spark):
 def test_no_description_has_no_fields(spark):
     none = spark.createDataFrame([], "spec_id bigint, body string")
     assert plans.field_paths(none).count() == 0
+
+
+def test_chains_of_references_take_logarithmic_rounds(spark, monkeypatch):
+    written = []
+
+    def counted(df, folder):
+        written.append(folder.rsplit("/", 1)[-1])
+        return write_and_reopen(df, folder)
+
+    monkeypatch.setattr(schemas, "write_and_reopen", counted)
+    n = 21
+    links = {f"D{i}": obj(["next"], x=TEXT, next=ref(f"D{i + 1}")) for i in range(n - 1)}
+    paths = described(spark, **links, **{f"D{n - 1}": obj(x=TEXT, back=ref("D3"))})
+    rows = paths.collect()
+    expected = {(f"D{i}", ("next",) * (j - i) + (f,)) for i in range(n) for j in range(i, n) for f in ("x", "next" if j < n - 1 else "back")}
+    # from the last one, the walk goes on at D3 until it meets a definition opened before
+    for i in range(4, n):
+        expected |= {(f"D{i}", ("next",) * (n - 1 - i) + ("back",) + ("next",) * k + (f,)) for k in range(i - 3) for f in ("x", "next")}
+    assert len(rows) == len(expected)
+    assert {(r["schema_name"], tuple(r["path"])) for r in rows} == expected
+    told = {(r["schema_name"], r["path"][-1]): r["problem"] for r in rows if r["problem"]}
+    assert told == {
+        (f"D{i}", "back" if i <= 3 else "next"): f"refers back to D{3 if i <= 3 else i}" for i in range(n)
+    }
+    assert [w for w in written if w.startswith("own")] == ["own0"]
+    # walks of 1, 2, 4, 8, 16 and 32 references
+    assert [w for w in written if w.startswith("walks")] == [f"walks{k}" for k in range(6)]
+
+
+def test_several_fields_of_one_reference_are_apart(spark):
+    paths = described(
+        spark,
+        A=obj(["m"], one=ref("B"), two={"type": "array", "items": ref("B")}, m=obj(["deep"], deep=ref("C"))),
+        B=obj(["c"], c=ref("C")),
+        C=obj(["x"], x=TEXT),
+    )
+    rows = paths.filter("schema_name = 'A'").collect()
+    found = {".".join(r["path"]): (r["pos"], r["path_nullable"], r["in_array"]) for r in rows}
+    assert found == {
+        "one": ([0], True, False),
+        "one.c": ([0, 0], True, False),
+        "one.c.x": ([0, 0, 0], True, False),
+        "two": ([1], True, False),
+        "two.c": ([1, 0], True, True),
+        "two.c.x": ([1, 0, 0], True, True),
+        "m": ([2], False, False),
+        "m.deep": ([2, 0], False, False),
+        "m.deep.x": ([2, 0, 0], False, False),
+    }
