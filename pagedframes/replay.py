@@ -8,7 +8,7 @@ from collections.abc import Iterator, Mapping
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
 import pyarrow.fs as fs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagedframes.constants import BLOCK_PAGES
@@ -60,30 +60,64 @@ class LandedTransport(Transport):
 
 
 BUCKETS = 64
+_SPAN = (1 << 32) // BUCKETS  # places in one bucket
+_GROUP = 1 << 20  # bytes of bodies that are read together
+
+
+def _place(url: Column) -> Column:
+    return F.crc32(F.encode(url, "UTF-8"))
 
 
 def land_bodies(bodies: DataFrame, path: str) -> None:
-    """Write ``url, body`` so that a body is found by its URL."""
-    bucket = F.crc32(F.encode("url", "UTF-8")) % BUCKETS
-    bodies.select("url", "body", bucket.alias("bucket")).repartition("bucket").write.partitionBy("bucket").parquet(path)
+    """Write ``url, body`` so that a body is found by its URL: ordered by place, in small row groups."""
+    placed = bodies.select("url", "body", _place(F.col("url")).alias("place"))
+    bucketed = placed.withColumn("bucket", F.expr(f"place div {_SPAN}")).repartition("bucket")
+    writer = bucketed.sortWithinPartitions("bucket", "place").write.option("parquet.block.size", _GROUP)
+    writer.partitionBy("bucket").parquet(path)
 
 
 class LandedBodies(Transport):
-    """Replays single bodies that ``land_bodies`` wrote; holds one bucket of them at a time."""
+    """Replays single bodies that ``land_bodies`` wrote; holds those of one row group at a time."""
 
     def __init__(self, path: str):
-        self.path, self.held = path, (None, {})
+        self.path = path
+        self.bucket: tuple[int | None, list] = (None, [])
+        self.held: tuple[int, int, dict[str, str]] = (1, 0, {})  # all bodies from the first place to the last
 
-    def get(self, url: str) -> str:
-        bucket = zlib.crc32(url.encode()) % BUCKETS
-        if self.held[0] != bucket:
+    def place(self, url: Column) -> Column:
+        return _place(url)
+
+    def _groups(self, bucket: int) -> list[tuple[int, int, ds.ParquetFileFragment]]:
+        """First place, last place and row group, for all row groups of a bucket."""
+        if self.bucket[0] != bucket:
             filesystem, path = _opened(self.path)
-            folder = f"{path}/bucket={bucket}"
-            rows = {}
+            folder, found = f"{path}/bucket={bucket}", []
             if filesystem.get_file_info(folder).type != fs.FileType.NotFound:
-                table = ds.dataset(folder, filesystem=filesystem, format="parquet").to_table(columns=["url", "body"])
-                rows = dict(zip(table["url"].to_pylist(), table["body"].to_pylist()))
-            self.held = bucket, rows
-        if url not in self.held[1]:
+                for fragment in ds.dataset(folder, filesystem=filesystem, format="parquet").get_fragments():
+                    for part in fragment.split_by_row_group():
+                        places = part.row_groups[0].statistics["place"]
+                        found.append((places["min"], places["max"], part))
+            self.bucket = bucket, found
+        return self.bucket[1]
+
+    def _around(self, place: int) -> tuple[int, int, dict[str, str]]:
+        bucket = place // _SPAN
+        low, high, rows = bucket * _SPAN, (bucket + 1) * _SPAN - 1, {}
+        for first, last, part in self._groups(bucket):
+            if last < place:
+                low = max(low, last + 1)
+            elif first > place:
+                high = min(high, first - 1)
+            else:
+                low, high = max(low, first), min(high, last)
+                table = part.to_table(columns=["url", "body"], use_threads=False)
+                rows.update(zip(table["url"].to_pylist(), table["body"].to_pylist()))
+        return low, high, rows
+
+    def get(self, url: str) -> str:
+        place = zlib.crc32(url.encode())
+        if not self.held[0] <= place <= self.held[1]:
+            self.held = self._around(place)
+        if url not in self.held[2]:
             raise NotFound(url)
-        return self.held[1][url]
+        return self.held[2][url]

@@ -13,7 +13,7 @@ from functools import partial
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagedframes.sources.landed import land_pages, pages_from_table
@@ -197,6 +197,14 @@ def _fetch_keys(batches: Iterator[pa.RecordBatch], transport: Callable[[], Trans
         yield pa.RecordBatch.from_pylist(rows, _KEYED)
 
 
+def _quoted(text: Column) -> Column:
+    """As ``urllib.parse.quote`` with nothing safe."""
+    encoded = F.url_encode(text)
+    for ours, theirs in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
+        encoded = F.replace(encoded, F.lit(ours), F.lit(theirs))
+    return encoded
+
+
 def fetch_keys(
     keys: DataFrame,
     endpoint: str,
@@ -208,7 +216,8 @@ def fetch_keys(
     """``key, body`` for each different key of ``keys``, from the endpoint with ``{key}``; null for one that is not there.
 
     A null key is not asked for and has no body. Keys are dealt by hash, so a
-    key that is given often is one request. What was fetched is kept, since a
+    key that is given often is one request; if the transport knows where bodies
+    lie, each task asks for a stretch of them in order. What was fetched is kept, since a
     second look must not be a second fetch; other failures fail the read after that.
     """
     if "{key}" not in endpoint:
@@ -218,7 +227,14 @@ def fetch_keys(
     travel()
     own = partial(_fetch_keys, transport=_at_pace(transport, budget, n), endpoint=endpoint)
     different = keys.select(F.col(f"`{column}`").cast("string").alias("key")).distinct()
-    dealt = different.withColumn("task", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")).repartitionById(n, "task").select("key")
+    place = transport.place(F.replace(F.lit(endpoint), F.lit("{key}"), _quoted(F.col("key"))))
+    if place is None:
+        dealt = different.withColumn("task", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")).repartitionById(n, "task")
+    else:
+        placed = different.withColumn("place", F.coalesce(place, F.lit(0)))
+        dealt = placed.withColumn("task", F.floor(F.col("place") * n / (1 << 32)).cast("int")).repartitionById(n, "task")
+        dealt = dealt.sortWithinPartitions("place")
+    dealt = dealt.select("key")
     fetched = write_and_reopen(dealt.mapInArrow(lambda batches: own(batches), _BODIES), new_folder(spark, "fetched-keys"))
     told = fetched.filter("error IS NOT NULL").limit(5).collect()
     if told:

@@ -5,19 +5,21 @@ import os
 import re
 import sys
 import time
+import zlib
 
 import pytest
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagedframes import Budget, FunctionTransport, PagedAPI, Paging, fixtures as fx
 from pagedframes.operators import page_audit
+from pagedframes.replay import BUCKETS, LandedBodies, land_bodies
 from pagedframes.sources import fetch_keys, land_fleet, page_runs, read_fleet, register_records, register_transport, unnest
 from pagedframes.sources.paged import PagedReader, PagedStreamReader
 from pagedframes.sources.records import fit_of
-from pagedframes.sources.transport import NotFound, Pace
+from pagedframes.sources.transport import NotFound, Pace, Transport
 from pagedframes.storage import new_folder
 from pagedframes.streaming import drain, stream_api, stream_items
 
@@ -298,3 +300,46 @@ def test_stream_in_batches_loses_and_repeats_nothing(spark, tmp_path):
     # a new query, a page that was half full, and a backlog of several batches again
     assert sorted(pull(3100, "grow2")) == every({"/x": 3100})
     assert sorted(pull(3100, "grow3")) == every({"/x": 3100})
+
+
+class Shelves(Transport):
+    """Tells in a file which places each task asked for, in order."""
+
+    def __init__(self, told):
+        self.told = told
+
+    def place(self, url):
+        return F.crc32(F.encode(url, "UTF-8"))
+
+    def get(self, url):
+        with open(f"{self.told}/{os.getpid()}-{TaskContext.get().partitionId()}", "a") as told:
+            told.write(f"{zlib.crc32(url.encode())}\n")
+        return url
+
+
+def test_keys_are_asked_for_by_where_they_lie(spark, tmp_path):
+    keys = spark.range(500).select(F.concat(F.lit("a b*~é/"), F.col("id")).alias("key"))
+    found = fetch_keys(keys, "/x/{key}", Shelves(str(tmp_path)), tasks=4)
+    assert found.count() == 500
+    asked = sorted([int(place) for place in told.read_text().split()] for told in tmp_path.iterdir())
+    assert len(asked) == 4
+    # each task goes through a stretch of its own, in order
+    assert [place for task in asked for place in task] == sorted(place for task in asked for place in task)
+    assert min(map(len, asked)) > 60
+
+
+def test_landed_bodies_are_read_a_row_group_at_a_time(spark, tmp_path):
+    folder = str(tmp_path / "bodies")
+    # of one bucket all
+    ids = [i for i in range(30_000) if zlib.crc32(f"/x/{i}".encode()) < (1 << 32) // BUCKETS]
+    body = F.expr("concat(lpad(id, 8, '0'), array_join(transform(sequence(1, 300), k -> sha2(concat(id, ' ', k), 256)), 'ü'))")
+    rows = spark.createDataFrame([(i,) for i in ids], "id bigint")
+    land_bodies(rows.select(F.concat(F.lit("/x/"), F.col("id")).alias("url"), body.alias("body")), folder)
+    transport = LandedBodies(folder)
+    for i in (ids[0], ids[5], ids[-1], ids[5]):
+        assert transport.get(f"/x/{i}")[:8] == f"{i:08}"
+        assert len(transport.held[2]) < len(ids) / 2
+    assert [int(transport.get(f"/x/{i}")[:8]) for i in ids] == ids
+    for url in (f"/x/{ids[0]}?", "/y"):
+        with pytest.raises(NotFound):
+            transport.get(url)
