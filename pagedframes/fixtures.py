@@ -15,11 +15,13 @@ from pyspark.sql import types as T
 
 from pagedframes.constants import PAGE_SIZE
 from pagedframes.sources.landed import land_pages
-from pagedframes.storage import new_folder
+from pagedframes.storage import new_folder, write_and_reopen
 
 
 #: numbers that a series of invoices holds; a declared integer has 32 bits, so keys are text
 SERIES = 2_000_000_000
+#: rows that are numbered, or put on pages, by one task
+RANGE = 100_000
 
 _TEXT, _INT, _REAL, _FLAG = T.StringType(), T.IntegerType(), T.DoubleType(), T.BooleanType()
 
@@ -176,13 +178,38 @@ def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbered_pages(rows: DataFrame, dataset: Column) -> DataFrame:
-    """``dataset, page, body`` with 200 items each for every ``dataset`` of ``key, record`` rows, in key order."""
-    named = rows.select(dataset.alias("dataset"), "key", F.to_json("record").alias("item"))
-    at = F.row_number().over(Window.partitionBy("dataset").orderBy("key")) - 1
-    placed = named.withColumn("at", at).withColumn("page", F.expr(f"at div {PAGE_SIZE}") + 1)
-    totals = named.groupBy("dataset").agg(F.count("*").alias("total"))
+    """``dataset, page, body`` with 200 items each for every ``dataset`` of ``key, record`` rows, in key order.
+
+    Rows are written in ranges of dataset and key, numbered in order. How many
+    of a dataset lie before a range is a sum over ranges, so no task numbers a
+    dataset by itself. The text is written before, since ranges take a look at all rows.
+    """
+    spark = rows.sparkSession
+    named = rows.select(dataset.alias("dataset"), "key", F.to_json("record").alias("item")).filter("dataset IS NOT NULL")
+    named = write_and_reopen(named, new_folder(spark, "named"))
+    # as many parts as the rows need, whatever the session's number of them
+    rows = named.count()
+    parts = max(min(int(spark.conf.get("spark.sql.shuffle.partitions")), 10 * rows // RANGE + 1), rows // RANGE)
+    # rows of one key are spread too
+    ranged = named.repartitionByRange(parts, "dataset", "key", F.xxhash64("item")).sortWithinPartitions("dataset", "key")
+    # the number of the range in the upper bits, that of the row below
+    at = F.monotonically_increasing_id()
+    numbered = ranged.select("dataset", "item", F.shiftright(at, 33).alias("range"), at.bitwiseAND((1 << 33) - 1).alias("at"))
+    numbered = write_and_reopen(numbered, new_folder(spark, "numbered"))
+    ranges = numbered.groupBy("dataset", "range").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    named_once = Window.partitionBy("dataset")
+    before = named_once.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranges.select(
+        "dataset",
+        "range",
+        (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"),
+        F.sum("n").over(named_once).alias("total"),
+    )
+    at = F.col("at") + F.col("shift")
+    items = numbered.repartition(parts, "dataset", "range").join(placed, ["dataset", "range"])
+    items = items.select("dataset", "total", at.alias("at"), "item").withColumn("page", F.expr(f"at div {PAGE_SIZE}") + 1)
     held = F.transform(F.sort_array(F.collect_list(F.struct("at", "item"))), lambda e: e["item"])
-    pages = placed.groupBy("dataset", "page").agg(held.alias("items")).join(totals, "dataset")
+    pages = items.repartition(parts, "dataset", "total", "page").groupBy("dataset", "total", "page").agg(held.alias("items"))
     body = F.concat(
         F.lit('{"$total":'), F.col("total").cast("string"), F.lit(',"$items":['), F.array_join("items", ","), F.lit("]}")
     )

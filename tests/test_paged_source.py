@@ -7,6 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from pagedframes import fixtures as fx
 from pagedframes.sources import (
     FunctionTransport,
     HttpTransport,
@@ -218,3 +219,24 @@ def test_many_small_datasets_are_many_files(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     files = list((tmp_path / "landed").glob("block=0/*.parquet"))
     assert len(files) == 8 and spark.read.parquet(str(tmp_path / "landed")).count() == 2000
+
+
+def test_pages_of_one_dataset_are_numbered_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(fx, "RANGE", 500, raising=False)
+    n = 5_000
+    # keys repeat, and come in no order
+    key = (F.col("id") * 7919 % n / 2).cast("bigint")
+    rows = spark.range(n).select(key.alias("key"), F.struct(key.alias("id")).alias("record"), (F.col("id") % 10 == 0).alias("rare"))
+    dataset = F.explode(F.array(F.lit("all"), F.when(F.col("rare"), F.lit("rare")))).alias("dataset")
+    pages = fx.numbered_pages(rows.select("key", "record", dataset), F.col("dataset"))
+    plan = pages._jdf.queryExecution().executedPlan().toString()
+    found = {(r["dataset"], r["page"]): json.loads(r["body"]) for r in pages.collect()}
+    # windows go over ranges, not over rows
+    assert "row_number" not in plan
+    for name, total in (("all", n), ("rare", n // 10)):
+        bodies = [found[name, page + 1] for page in range(-(-total // 200))]
+        assert all(b["$total"] == total for b in bodies)
+        keys = [item["id"] for b in bodies for item in b["$items"]]
+        assert keys == sorted(keys) and len(keys) == total
+        assert [len(b["$items"]) for b in bodies[:-1]] == [200] * (len(bodies) - 1)
+    assert len(found) == 25 + 3
