@@ -8,12 +8,16 @@ from collections.abc import Iterator, Mapping
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
 import pyarrow.fs as fs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagedframes.constants import BLOCK_PAGES
 from pagedframes.sources.transport import NotFound, Paging, Transport
 
+_BUFFER = 1 << 20  # bytes of a file that are read ahead
+_DECODED = 16  # pages that are decoded together
+
 
 def _opened(path: str) -> tuple[fs.FileSystem, str]:
     if "://" in path or path.startswith("file:"):
@@ -36,12 +40,13 @@ class LandedTransport(Transport):
         folder = f"{path}/block={block}"
         if filesystem.get_file_info(folder).type == fs.FileType.NotFound:
             return
-        # bodies are large, so little is read ahead
-        scan = ds.dataset(folder, filesystem=filesystem, format="parquet").scanner(
-            columns=["page", "body"], filter=condition, batch_size=16, batch_readahead=1, fragment_readahead=1
-        )
-        for batch in scan.to_batches():
-            yield from zip(batch.column("page").to_pylist(), batch.column("body").to_pylist())
+        # bodies are large: row groups that cannot hold a page are passed over, the others decoded a few pages at a time
+        for fragment in ds.dataset(folder, filesystem=filesystem, format="parquet").get_fragments(condition):
+            groups = [group.id for part in fragment.split_by_row_group(condition) for group in part.row_groups]
+            with pq.ParquetFile(filesystem.open_input_file(fragment.path), buffer_size=_BUFFER, pre_buffer=False) as file:
+                for batch in file.iter_batches(_DECODED, groups, ["dataset", "page", "body"], use_threads=False):
+                    held = batch.filter(condition)
+                    yield from zip(held.column("page").to_pylist(), held.column("body").to_pylist())
 
     def pages(self, endpoint: str, first: int, last: int | None, paging: Paging) -> Iterator[tuple[int, str]]:
         condition = (pc.field("dataset") == self.datasets.get(endpoint, endpoint)) & (pc.field("page") >= first)

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from pagedframes.constants import BLOCK_PAGES
 
+#: bodies in one page of a landed file
+FILE_ROWS = 8
+
 
 def pages_from_files(spark: SparkSession, path: str, dataset: str | None = None) -> DataFrame:
     """One page body per file. Returns ``file, body`` (and ``dataset`` when it is given)."""
@@ -31,6 +34,8 @@ def land_pages(pages: DataFrame, path: str, mode: str = "errorifexists") -> None
     """
     block = F.expr(f"(page - 1) div {BLOCK_PAGES}")
     blocks = pages.select("dataset", "page", "body", block.alias("block")).repartition("dataset", "block")
-    # bodies are large: small row groups let a page range skip most of its block
+    # bodies are large: small row groups let a page range skip most of its block, and small
+    # pages of the file (by itself Parquet writes no less than 100 rows) let a reader hold few bodies
     writer = blocks.sortWithinPartitions("block", "dataset", "page").write.option("parquet.block.size", 8 * 1024 * 1024)
+    writer = writer.option("parquet.page.row.count.limit", FILE_ROWS).option("parquet.page.size.row.check.min", FILE_ROWS)
     writer.mode(mode).partitionBy("block").parquet(path)

@@ -3,6 +3,7 @@ import re
 import urllib.error
 from io import BytesIO
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from pagedframes.sources import (
 )
 from pagedframes.replay import LandedTransport
 from pagedframes.sources.paged import PagedReader, PagedStreamReader, PushdownReader
+from pagedframes.sources.transport import Paging
 from pagedframes.storage import new_folder
 from pagedframes.streaming import drain, stream_api, stream_items
 
@@ -240,3 +242,17 @@ def test_pages_of_one_dataset_are_numbered_by_many_tasks(spark, monkeypatch):
         assert keys == sorted(keys) and len(keys) == total
         assert [len(b["$items"]) for b in bodies[:-1]] == [200] * (len(bodies) - 1)
     assert len(found) == 25 + 3
+
+
+def test_landed_pages_are_decoded_a_few_at_a_time(spark, tmp_path):
+    folder = str(tmp_path / "pages")
+    body = F.expr("concat(id, ':', array_join(transform(sequence(1, 1600), k -> sha2(concat(id, ' ', k), 256)), ''))")
+    pages = spark.range(1, 301).select(F.lit("d").alias("dataset"), F.col("id").alias("page"), body.alias("body"))
+    land_pages(pages, folder)
+    before, peak, found = pa.total_allocated_bytes(), 0, []
+    for page, text in LandedTransport(folder, {"/d": "d"}).pages("/d", 101, 200, Paging()):
+        peak = max(peak, pa.total_allocated_bytes() - before)
+        found.append((page, int(text.split(":")[0])))
+    assert found == [(page, page) for page in range(101, 201)]
+    # 300 pages of 100 KB: a row group takes 10 MB and more
+    assert peak < 8e6
