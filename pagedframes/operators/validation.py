@@ -97,7 +97,18 @@ def _array_problems(text: Column, typed: Column, element: T.DataType, label: str
         return F.concat(*_struct_problems(pair["written"], pair["typed"], element, label, objects, None))
 
     # several elements with the same problem are one problem of the record
-    return F.coalesce(F.array_distinct(F.flatten(F.transform(pairs, of_one))), F.array().cast(_NONE))
+    looked_at = F.filter(pairs, lambda pair: ~_flawless(pair, element))
+    return F.coalesce(F.array_distinct(F.flatten(F.transform(looked_at, of_one))), F.array().cast(_NONE))
+
+
+def _flawless(pair: Column, element: T.StructType) -> Column:
+    """Whether an element holds all declared fields, each of its type, and nothing else, so that it needs no closer look."""
+    if any(isinstance(field.dataType, (T.StructType, T.ArrayType)) for field in element.fields):
+        return F.lit(False)
+    held = F.size(pair["written"]) == len(element.fields)
+    for field in element.fields:
+        held = held & pair["typed"].getField(field.name).isNotNull()
+    return F.coalesce(held, F.lit(False))
 
 
 def field_problems(items: DataFrame, schema: T.StructType, item: str = "item") -> DataFrame:

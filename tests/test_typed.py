@@ -90,3 +90,24 @@ def test_inference_equals_the_json_reader(spark, texts):
 
 def test_inference_then_flatten(spark):
     assert flatten(infer_rows(items(spark, *MERGES[0]))).columns == ["a", "b_c", "b_d", "e"]
+
+
+def test_elements_are_looked_at_if_anything_is_amiss(spark):
+    schema = T.StructType().add("lines", T.ArrayType(T.StructType().add("a", T.IntegerType()).add(T.StructField("b", T.StringType(), False))))
+    lines = {
+        "fine": '{"a":1,"b":"x"}',
+        "other": '{"a":1,"c":"x"}',  # as many fields as declared
+        "twice": '{"a":1,"a":2,"b":"x"}',
+        "more": '{"a":1,"b":"x","c":null}',
+        "bad": '{"a":"x","b":"x"}',
+        "none": "null",
+    }
+    rows = [(name, f'{{"lines":[{lines["fine"]},{line}]}}') for name, line in lines.items()]
+    found = field_problems(spark.createDataFrame(rows, "name string, item string"), schema)
+    told = sorted((r["name"], r["field"], r["problem"]) for r in found.collect())
+    assert told == [
+        ("bad", "lines[].a", "unreadable"),
+        ("more", "lines[].c", "undeclared"),
+        ("other", "lines[].b", "missing"),
+        ("other", "lines[].c", "undeclared"),
+    ]
