@@ -85,7 +85,7 @@ def read_single(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of all kinds, each kind a dataset with pages of its own, in one read."""
     events = fx.event_records(spark, sf_dir)
-    folder = fx.land(fx.numbered_pages(events, F.col("record.kind")), "fleet-pages")
+    folder = fx.land(fx.numbered_pages(events, F.col("record.kind")), "fleet-pages", dealt=True)
     datasets = fx.table(spark, sf_dir, "events").select(F.col("event_type").alias("dataset")).distinct()
     fleet = datasets.withColumn("endpoint", F.concat(F.lit("/events/"), F.col("dataset")))
     names = {row["endpoint"]: row["dataset"] for row in fleet.collect()}
@@ -246,7 +246,7 @@ def read_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     everything = F.lit("/invoices?from_date=1990-01-01")
     lists = F.explode(F.array(everything, F.concat(everything, F.lit("&status="), status))).alias("list")
     records = fx.invoice_records(spark, sf_dir).select("key", "record", lists)
-    folder = fx.land(fx.numbered_pages(records, F.col("list")), "by-status")
+    folder = fx.land(fx.numbered_pages(records, F.col("list")), "by-status", dealt=True)
     before = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     try:

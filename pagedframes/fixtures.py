@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagedframes.constants import PAGE_SIZE
-from pagedframes.sources.landed import land_pages
+from pagedframes.sources.landed import block_of, land_pages
 from pagedframes.storage import new_folder, write_and_reopen
 
 
@@ -183,6 +183,7 @@ def numbered_pages(rows: DataFrame, dataset: Column) -> DataFrame:
     Rows are written in ranges of dataset and key, numbered in order. How many
     of a dataset lie before a range is a sum over ranges, so no task numbers a
     dataset by itself. The text is written before, since ranges take a look at all rows.
+    The pages of a block lie in one partition, as a landing table wants them.
     """
     spark = rows.sparkSession
     named = rows.select(dataset.alias("dataset"), "key", F.to_json("record").alias("item")).filter("dataset IS NOT NULL")
@@ -206,20 +207,22 @@ def numbered_pages(rows: DataFrame, dataset: Column) -> DataFrame:
         F.sum("n").over(named_once).alias("total"),
     )
     at = F.col("at") + F.col("shift")
-    items = numbered.repartition(parts, "dataset", "range").join(placed, ["dataset", "range"])
+    # one row for each range and dataset, so the text stays where it is until it goes to its block
+    items = numbered.join(F.broadcast(placed), ["dataset", "range"])
     items = items.select("dataset", "total", at.alias("at"), "item").withColumn("page", F.expr(f"at div {PAGE_SIZE}") + 1)
+    items = items.withColumn("block", block_of("page")).repartition(parts, "dataset", "block")
     held = F.transform(F.sort_array(F.collect_list(F.struct("at", "item"))), lambda e: e["item"])
-    pages = items.repartition(parts, "dataset", "total", "page").groupBy("dataset", "total", "page").agg(held.alias("items"))
+    pages = items.groupBy("dataset", "total", "block", "page").agg(held.alias("items"))
     body = F.concat(
         F.lit('{"$total":'), F.col("total").cast("string"), F.lit(',"$items":['), F.array_join("items", ","), F.lit("]}")
     )
     return pages.select("dataset", "page", body.alias("body"))
 
 
-def land(pages: DataFrame, label: str) -> str:
-    """Land pages in the shared folder and return where."""
+def land(pages: DataFrame, label: str, dealt: bool = False) -> str:
+    """Land pages in the shared folder and return where; ``dealt`` as :func:`numbered_pages` deals them."""
     folder = new_folder(pages.sparkSession, label)
-    land_pages(pages, folder)
+    land_pages(pages, folder, dealt=dealt)
     return folder
 
 

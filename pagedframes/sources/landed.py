@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagedframes.constants import BLOCK_PAGES
+from pagedframes.storage import shuffles_released
 
 #: bodies in one page of a landed file
 FILE_ROWS = 8
@@ -25,17 +26,25 @@ def pages_from_table(spark: SparkSession, path: str, dataset: str | None = None)
     return pages if dataset is None else pages.filter(F.col("dataset") == dataset)
 
 
-def land_pages(pages: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def block_of(page: str) -> Column:
+    """The block of a landing table that holds a page."""
+    return F.expr(f"({page} - 1) div {BLOCK_PAGES}")
+
+
+def land_pages(pages: DataFrame, path: str, mode: str = "errorifexists", dealt: bool = False) -> None:
     """Write ``dataset, page, body`` in blocks of consecutive pages, ordered by page.
 
     A block is a folder whose name follows from the page number, so whoever
     wants a page range finds it without opening any other block. Many small
-    datasets share block 0, but are dealt out over many files.
+    datasets share block 0, but are dealt out over many files. Pages that are
+    ``dealt`` have each block of a dataset in one partition and do not move.
     """
-    block = F.expr(f"(page - 1) div {BLOCK_PAGES}")
-    blocks = pages.select("dataset", "page", "body", block.alias("block")).repartition("dataset", "block")
+    blocks = pages.select("dataset", "page", "body", block_of("page").alias("block"))
+    if not dealt:
+        blocks = blocks.repartition("dataset", "block")
     # bodies are large: small row groups let a page range skip most of its block, and small
     # pages of the file (by itself Parquet writes no less than 100 rows) let a reader hold few bodies
     writer = blocks.sortWithinPartitions("block", "dataset", "page").write.option("parquet.block.size", 8 * 1024 * 1024)
     writer = writer.option("parquet.page.row.count.limit", FILE_ROWS).option("parquet.page.size.row.check.min", FILE_ROWS)
-    writer.mode(mode).partitionBy("block").parquet(path)
+    with shuffles_released(pages.sparkSession):
+        writer.option("compression", "zstd").mode(mode).partitionBy("block").parquet(path)
